@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.functions.scalars import before, instant, round2, user_id
-from tallywatch.operators.clean import with_event_time
-from tallywatch.schema import APP_TYPES, BANKS, TX_COLUMNS
+from tallywatch.functions.scalars import instant, round2, user_id
+from tallywatch.schema import APP_TYPES, BANKS
 from tallywatch.session import pin_session
 from tallywatch.sources.messages import encode
 
@@ -118,6 +117,4 @@ def message_lines(tx: DataFrame, bad_lines: bool = True) -> DataFrame:
 def newest(tx: DataFrame) -> datetime:
     """Largest event time, as a UTC datetime on the driver (streaming runs need a fixed moment)."""
     micros = tx.agg(F.unix_micros(F.max("ts")).alias("t")).first()["t"]
-    from datetime import timedelta, timezone
-
     return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)

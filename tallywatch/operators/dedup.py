@@ -24,18 +24,19 @@ def without_seen(tx: DataFrame, seen: DataFrame) -> DataFrame:
     return tx.join(seen.select("tx_id"), "tx_id", "left_anti").select(*tx.columns)
 
 
-def _first_of_each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = pa.table({"tx_id": batch.column("tx_id"), "row": pa.array(range(batch.num_rows), pa.int64())})
-        first = rows.group_by("tx_id").aggregate([("row", "min")]).column("row_min")
-        yield batch.take(first.combine_chunks().sort())
-
-
 def dedup_stream(tx: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Streaming form: repeats within ``delay`` of the first delivery are dropped, state stays bounded.
 
     Each Arrow batch first drops its own repeats, so a flood of copies of one id does not go to the
     one task that owns the id's state.
     """
-    thinned = tx.mapInArrow(_first_of_each_id, tx.schema)
+
+    # Defined here so that it travels with the plan: workers need not have this package installed.
+    def first_of_each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.table({"tx_id": batch.column("tx_id"), "row": pa.array(range(batch.num_rows), pa.int64())})
+            first = rows.group_by("tx_id").aggregate([("row", "min")]).column("row_min")
+            yield batch.take(first.combine_chunks().sort())
+
+    thinned = tx.mapInArrow(first_of_each_id, tx.schema)
     return thinned.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["tx_id"])

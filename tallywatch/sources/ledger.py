@@ -50,6 +50,13 @@ def from_time(tx: DataFrame, since: datetime | Column) -> DataFrame:
     return tx.filter((F.col("dt") >= F.to_date(bound)) & (F.col("ts") >= bound))
 
 
+def days(spark: SparkSession, path: str, since: date | None = None) -> list[date]:
+    """Calendar days the ledger holds, from its folder names alone."""
+    names = [n.removeprefix("dt=") for n in storage.child_names(spark, path) if n.startswith("dt=")]
+    found = [date.fromisoformat(n) for n in names if n != NO_DAY]
+    return [d for d in found if since is None or d >= since]
+
+
 def scan_days(spark: SparkSession, path: str, days: Iterable[date | None]) -> DataFrame:
     """Only the given days (``None`` = rows without event time), listing no other folder."""
     names = {NO_DAY if d is None else d.isoformat() for d in days}
