@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.scalars import cents, utc
 from tallywatch.operators.edges import both_parties, edge_totals
-from tallywatch.plans.metrics import assemble, per_user, user_bank
-from tallywatch.schema import TRAILING_WINDOWS, MonitorConfig
+from tallywatch.plans.metrics import assemble, known_counterparties, known_counterparty, per_user, span_start, user_bank
+from tallywatch.schema import SPANS, TRAILING_WINDOWS, MonitorConfig
 from tallywatch.sources import ledger, snapshots, storage
 
 SCHEMAS = {
@@ -66,7 +66,7 @@ def _delta(config: MonitorConfig, table: str) -> str:
     return f"{config.state}/{table}/delta"
 
 
-def _paths(spark: SparkSession, config: MonitorConfig, table: str, batch_id: int) -> list[str]:
+def _split_paths(spark: SparkSession, config: MonitorConfig, table: str, batch_id: int) -> tuple[list[str], list[str]]:
     """The newest base older than this batch, and every delta after it up to this batch.
 
     A base written by this very batch is not used: on a replay it is rebuilt, not trusted.
@@ -77,11 +77,16 @@ def _paths(spark: SparkSession, config: MonitorConfig, table: str, batch_id: int
         if v <= batch_id and (base is None or v > base)
     ]
     bases = [] if base is None else [snapshots.version_path(_base(config, table), base)]
-    return bases + [snapshots.version_path(_delta(config, table), v) for v in deltas]
+    return bases, [snapshots.version_path(_delta(config, table), v) for v in deltas]
+
+
+def _read(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
+    return spark.read.schema(SCHEMAS[table]).parquet(*paths)
 
 
 def _rows(spark: SparkSession, config: MonitorConfig, table: str, batch_id: int) -> DataFrame:
-    return spark.read.schema(SCHEMAS[table]).parquet(*_paths(spark, config, table, batch_id))
+    bases, deltas = _split_paths(spark, config, table, batch_id)
+    return _read(spark, table, bases + deltas)
 
 
 def add_batch(tx: DataFrame, config: MonitorConfig, batch_id: int) -> None:
@@ -96,7 +101,7 @@ def compact(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
     The previous base and the deltas after it stay, so this batch can still be replayed.
     """
     for table in TABLES:
-        if len(_paths(spark, config, table, batch_id)) <= config.compact_every:
+        if len(_split_paths(spark, config, table, batch_id)[1]) < config.compact_every:
             continue
         merged = _MERGE[table](_rows(spark, config, table, batch_id))
         if table == "hours":
@@ -122,13 +127,43 @@ def _hour_of(moment: datetime) -> datetime:
     return moment.replace(minute=0, second=0, microsecond=0)
 
 
+def _pairs(spark: SparkSession, config: MonitorConfig, batch_id: int, now: Column) -> DataFrame:
+    """Pair rows for both roles, such that every counterparty is counted by one row only.
+
+    Counts and sums of base and deltas simply add up. A pair that is in both counts as a counterparty
+    in its base row, unless only its newer rows reach into the window. Only the pairs of the deltas
+    are looked up in the base: while Spark finds the deltas small enough to broadcast, the big base
+    is scanned and summed per user without being shuffled by pair.
+    """
+    keys = ["send_id", "receive_id"]
+    bases, deltas = _split_paths(spark, config, "edges", batch_id)
+    newer = _MERGE["edges"](_read(spark, "edges", deltas))
+    carried = ["n_life", "cents_life", "first_ts", "last_ts"]
+    if not bases:
+        return both_parties(newer, *carried).withColumns(known_counterparties(now))
+    base = _read(spark, "edges", bases)
+    in_base = base.select(*keys, F.col("last_ts").alias("base_ts"), F.lit(True).alias("in_base"))
+    found = in_base.join(newer.select(*keys), keys)
+    added = both_parties(newer.join(found, keys, "left"), *carried, "in_base", "base_ts")
+
+    def counted_in_base(span: str) -> Column:
+        start = span_start(span, now)
+        inside = F.col("in_base") if start is None else F.col("in_base") & (F.col("base_ts") >= start)
+        return F.coalesce(inside, F.lit(False))
+
+    only_newer = {
+        f"known_{span}": F.when(~counted_in_base(span), known_counterparty(span_start(span, now))) for span in SPANS
+    }
+    base_rows = both_parties(base, *carried).withColumns(known_counterparties(now))
+    return base_rows.unionByName(added.withColumns(only_newer).drop("in_base", "base_ts"))
+
+
 def metrics(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> DataFrame:
     """The 45-column metric table from state; equals a recomputation from the ledger."""
     now = F.lit(utc(as_of))
     starts = _starts(as_of)
 
-    edges = _MERGE["edges"](_rows(spark, config, "edges", batch_id))
-    pairs = both_parties(edges, "n_life", "cents_life", "first_ts", "last_ts")
+    pairs = _pairs(spark, config, batch_id, now)
 
     def window_columns(inside: Callable[[str], Column], n: Column, money: Column) -> list[Column]:
         columns = []
@@ -160,4 +195,4 @@ def metrics(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
 
     rows = pairs.unionByName(whole_hours, allowMissingColumns=True).unionByName(part_hours, allowMissingColumns=True)
     banks = _MERGE["banks"](_rows(spark, config, "banks", batch_id))
-    return assemble(per_user(rows, now).join(banks, "user", "left"), now)
+    return assemble(per_user(rows).join(banks, "user", "left"), now)
