@@ -23,7 +23,7 @@ def recent_users(tx: DataFrame, n: int = SHOWN_USERS) -> DataFrame:
     last_seen = both_parties(tx, "ts").filter(F.col("user").isNotNull()).groupBy("user").agg(F.max("ts").alias("last_ts"))
     newest = last_seen.orderBy(F.desc_nulls_last("last_ts"), "user").limit(n)
     order = Window.orderBy(F.desc_nulls_last("last_ts"), "user")
-    return newest.withColumn("rank", F.row_number().over(order))
+    return newest.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 
 def most_active(metrics: DataFrame, n: int = SHOWN_USERS) -> DataFrame:
@@ -44,7 +44,7 @@ def recent_users_view(metrics: DataFrame, tx: DataFrame, n: int = SHOWN_USERS) -
 def dashboard_view(metrics: DataFrame, recent: DataFrame, n: int = SHOWN_USERS) -> DataFrame:
     """Rows the dashboard shows: the recent users', or the most active ones' while ``recent`` is empty."""
     fallback = most_active(metrics, n).filter(~recent.select("ts").exists())
-    rank = F.row_number().over(Window.orderBy(F.desc("count_sent_3h"), "user"))
+    rank = F.row_number().over(Window.orderBy(F.desc("count_sent_3h"), "user")).cast("bigint")
     return recent_users_view(metrics, recent, n).unionByName(fallback.withColumn("rank", rank))
 
 
