@@ -2,60 +2,41 @@
 
 Three tables, each a base version plus one small delta per batch since:
 
-* ``edges``: (sender, receiver) -> count, cents, first and last time. Gives the lifetime metrics, and
-  the distinct counterparties of any window (windows have no upper bound).
-* ``hours``: (user, role, hour) -> count, cents. Gives window counts and sums, except for the one
-  hour a window starts in, whose rows are read from that day of the ledger.
+* ``days``: (user, role, day) -> count, cents, first time, and how many counterparties were last seen
+  on that day. Sums over whole days give every metric, except for the one day a window starts in.
+  Days before the longest window are folded into one row per user and role.
+* ``pairs``: (sender, receiver) -> last time. Tells a batch which of its pairs are new or move to a
+  later day; partitioned by day, so that the pairs of a window's first day are read alone.
 * ``banks``: user -> bank.
 
-Every merge is a sum, minimum or maximum, so late rows need no care and a replayed batch rewrites
-its own delta. Repeated deliveries must be removed before they get here.
+A batch's deltas depend only on its rows and on older state, so a replay rewrites the same deltas.
+Late rows need no care. Repeated deliveries must be removed before they get here.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.functions.scalars import cents, utc
-from tallywatch.operators.edges import both_parties, edge_totals
-from tallywatch.plans.metrics import assemble, known_counterparties, known_counterparty, per_user, span_start, user_bank
-from tallywatch.schema import SPANS, TRAILING_WINDOWS, MonitorConfig
+from tallywatch.operators.edges import both_parties
+from tallywatch.plans.metrics import assemble, per_user, user_bank
+from tallywatch.schema import TRAILING_WINDOWS, MonitorConfig
 from tallywatch.sources import ledger, snapshots, storage
 
-SCHEMAS = {
-    "edges": "send_id string, receive_id string, n_life bigint, cents_life bigint, first_ts timestamp, last_ts timestamp",
-    "hours": "role string, user string, hour timestamp, n bigint, cents bigint",
-    "banks": "user string, bank string",
-}
-TABLES = tuple(SCHEMAS)
+DAYS = "role string, user string, day date, n bigint, cents bigint, first_ts timestamp, pairs bigint"
+PAIRS = "send_id string, receive_id string, last_ts timestamp"
+PAIR_DELTA = PAIRS + ", prev_ts timestamp, is_new boolean"
+PAIR_BASE = PAIRS + ", last_day date"
+BANKS = "user string, bank string"
+SCHEMAS = {"days": DAYS, "banks": BANKS}
+TABLES = ("days", "pairs", "banks")
 
-
-def _hour_totals(tx: DataFrame) -> DataFrame:
-    dated = both_parties(tx.filter(F.col("ts").isNotNull()), "amount", "ts").filter(F.col("user").isNotNull())
-    hour = F.date_trunc("hour", "ts").alias("hour")
-    return dated.groupBy("role", "user", hour).agg(F.count("*").alias("n"), F.sum(cents("amount")).alias("cents"))
-
-
-_FROM_TX: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "edges": edge_totals,
-    "hours": _hour_totals,
-    "banks": user_bank,
-}
-
-_MERGE: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "edges": lambda rows: rows.groupBy("send_id", "receive_id").agg(
-        F.sum("n_life").alias("n_life"),
-        F.sum("cents_life").alias("cents_life"),
-        F.min("first_ts").alias("first_ts"),
-        F.max("last_ts").alias("last_ts"),
-    ),
-    "hours": lambda rows: rows.groupBy("role", "user", "hour").agg(F.sum("n").alias("n"), F.sum("cents").alias("cents")),
-    "banks": lambda rows: rows.groupBy("user").agg(F.min("bank").alias("bank")),
-}
+PAIR_KEYS = ["send_id", "receive_id"]
+FOLDED = date(1900, 1, 1)
 
 
 def _base(config: MonitorConfig, table: str) -> str:
@@ -66,33 +47,100 @@ def _delta(config: MonitorConfig, table: str) -> str:
     return f"{config.state}/{table}/delta"
 
 
-def _split_paths(spark: SparkSession, config: MonitorConfig, table: str, batch_id: int) -> tuple[list[str], list[str]]:
+def _paths(
+    spark: SparkSession, config: MonitorConfig, table: str, batch_id: int, own: bool = True
+) -> tuple[list[str], list[str]]:
     """The newest base older than this batch, and every delta after it up to this batch.
 
-    A base written by this very batch is not used: on a replay it is rebuilt, not trusted.
+    ``own=False`` leaves this batch's own delta out. A base written by this very batch is not used:
+    on a replay it is rebuilt, not trusted.
     """
     base = snapshots.latest_version(spark, _base(config, table), below=batch_id)
+    last = batch_id if own else batch_id - 1
     deltas = [
         v for v in snapshots.committed_versions(spark, _delta(config, table))
-        if v <= batch_id and (base is None or v > base)
+        if v <= last and (base is None or v > base)
     ]
     bases = [] if base is None else [snapshots.version_path(_base(config, table), base)]
     return bases, [snapshots.version_path(_delta(config, table), v) for v in deltas]
 
 
-def _read(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
-    return spark.read.schema(SCHEMAS[table]).parquet(*paths)
+def _read(spark: SparkSession, schema: str, paths: list[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
 
+def _rows(spark: SparkSession, config: MonitorConfig, table: str, batch_id: int, own: bool = True) -> DataFrame:
+    bases, deltas = _paths(spark, config, table, batch_id, own)
+    if table == "pairs":
+        return _read(spark, PAIR_BASE, bases).drop("last_day").unionByName(_read(spark, PAIRS, deltas))
+    return _read(spark, SCHEMAS[table], bases + deltas)
 
-def _rows(spark: SparkSession, config: MonitorConfig, table: str, batch_id: int) -> DataFrame:
-    bases, deltas = _split_paths(spark, config, table, batch_id)
-    return _read(spark, table, bases + deltas)
+
+# ---- adding a batch -------------------------------------------------------------------------
 
 
 def add_batch(tx: DataFrame, config: MonitorConfig, batch_id: int) -> None:
     """Write this batch's deltas."""
-    for table in TABLES:
-        snapshots.publish(_FROM_TX[table](tx), _delta(config, table), batch_id)
+    spark = tx.sparkSession
+    pairs = snapshots.publish(_pair_delta(spark, config, tx, batch_id), _delta(config, "pairs"), batch_id)
+    days = _day_delta(tx, _read(spark, PAIR_DELTA, [pairs]))
+    snapshots.publish(days, _delta(config, "days"), batch_id)
+    snapshots.publish(user_bank(tx), _delta(config, "banks"), batch_id)
+
+
+def _pair_delta(spark: SparkSession, config: MonitorConfig, tx: DataFrame, batch_id: int) -> DataFrame:
+    """The batch's pairs with their last time, now and before this batch.
+
+    Only these pairs are looked up. While Spark finds them small enough to broadcast, the big table
+    is scanned without being shuffled.
+    """
+    both_known = F.col("send_id").isNotNull() & F.col("receive_id").isNotNull()
+    seen = tx.filter(both_known).groupBy(*PAIR_KEYS).agg(F.max("ts").alias("seen_ts"))
+    older = _rows(spark, config, "pairs", batch_id, own=False)
+    before = older.join(seen.select(*PAIR_KEYS), PAIR_KEYS).groupBy(*PAIR_KEYS).agg(
+        F.max("last_ts").alias("prev_ts"), F.lit(False).alias("is_new")
+    )
+    return seen.join(before, PAIR_KEYS, "left").select(
+        *PAIR_KEYS,
+        F.greatest("seen_ts", "prev_ts").alias("last_ts"),
+        "prev_ts",
+        F.coalesce("is_new", F.lit(True)).alias("is_new"),
+    )
+
+
+def _day_delta(tx: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The batch's rows by day; a pair seen on a later day than before moves there."""
+    legs = both_parties(tx, "amount", "ts").filter("user is not null")
+    activity = legs.groupBy("role", "user", F.to_date("ts").alias("day")).agg(
+        F.count("*").alias("n"), F.sum(cents("amount")).alias("cents"), F.min("ts").alias("first_ts")
+    )
+    now_on = F.struct(F.to_date("last_ts").alias("day"), F.lit(1).cast("bigint").alias("pairs"))
+    no_longer_on = F.struct(F.to_date("prev_ts").alias("day"), F.lit(-1).cast("bigint").alias("pairs"))
+    moves = F.when(F.col("is_new"), F.array(now_on)).otherwise(F.array(now_on, no_longer_on))
+    moved = pairs.filter(F.col("is_new") | ~F.to_date("last_ts").eqNullSafe(F.to_date("prev_ts")))
+    counterparties = (
+        both_parties(moved.withColumn("moves", moves), "moves")
+        .select("role", "user", F.inline("moves"))
+        .groupBy("role", "user", "day").agg(F.sum("pairs").alias("pairs"))
+    )
+    return _merge_days(activity.unionByName(counterparties, allowMissingColumns=True))
+
+
+# ---- merging --------------------------------------------------------------------------------
+
+
+def _merge_days(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("role", "user", "day").agg(
+        F.sum("n").alias("n"), F.sum("cents").alias("cents"), F.min("first_ts").alias("first_ts"), F.sum("pairs").alias("pairs")
+    )
+
+
+def _merge_pairs(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*PAIR_KEYS).agg(F.max("last_ts").alias("last_ts"))
+
+
+def _merge_banks(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("user").agg(F.min("bank").alias("bank"))
 
 
 def compact(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> None:
@@ -100,13 +148,21 @@ def compact(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
 
     The previous base and the deltas after it stay, so this batch can still be replayed.
     """
+    # One day of slack, should the clock step back a little.
+    oldest_day = (_oldest_start(as_of) - timedelta(days=1)).date()
     for table in TABLES:
-        if len(_split_paths(spark, config, table, batch_id)[1]) < config.compact_every:
+        if len(_paths(spark, config, table, batch_id)[1]) < config.compact_every:
             continue
-        merged = _MERGE[table](_rows(spark, config, table, batch_id))
-        if table == "hours":
-            merged = merged.filter(F.col("hour") >= F.lit(_oldest_start(as_of) - timedelta(hours=1)))
-        snapshots.publish(merged, _base(config, table), batch_id)
+        rows = _rows(spark, config, table, batch_id)
+        target = snapshots.version_path(_base(config, table), batch_id)
+        if table == "pairs":
+            by_day = _merge_pairs(rows).withColumn("last_day", F.to_date("last_ts")).hint("rebalance", "last_day")
+            by_day.write.mode("overwrite").partitionBy("last_day").parquet(target)
+        elif table == "days":
+            folded = F.when(F.col("day") < F.lit(oldest_day), F.lit(FOLDED)).otherwise(F.col("day"))
+            _merge_days(rows.withColumn("day", folded)).write.mode("overwrite").parquet(target)
+        else:
+            _merge_banks(rows).write.mode("overwrite").parquet(target)
         snapshots.expire(spark, _base(config, table), keep=2)
         replay_floor = snapshots.committed_versions(spark, _base(config, table))[0]
         if replay_floor < batch_id:
@@ -115,6 +171,9 @@ def compact(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
                     storage.delete_tree(spark, snapshots.version_path(_delta(config, table), v))
 
 
+# ---- reading metrics ------------------------------------------------------------------------
+
+
 def _starts(as_of: datetime) -> dict[str, datetime]:
     return {label: utc(as_of) - timedelta(seconds=seconds) for label, seconds in TRAILING_WINDOWS.items()}
 
@@ -123,76 +182,49 @@ def _oldest_start(as_of: datetime) -> datetime:
     return min(_starts(as_of).values())
 
 
-def _hour_of(moment: datetime) -> datetime:
-    return moment.replace(minute=0, second=0, microsecond=0)
-
-
-def _pairs(spark: SparkSession, config: MonitorConfig, batch_id: int, now: Column) -> DataFrame:
-    """Pair rows for both roles, such that every counterparty is counted by one row only.
-
-    Counts and sums of base and deltas simply add up. A pair that is in both counts as a counterparty
-    in its base row, unless only its newer rows reach into the window. Only the pairs of the deltas
-    are looked up in the base: while Spark finds the deltas small enough to broadcast, the big base
-    is scanned and summed per user without being shuffled by pair.
-    """
-    keys = ["send_id", "receive_id"]
-    bases, deltas = _split_paths(spark, config, "edges", batch_id)
-    newer = _MERGE["edges"](_read(spark, "edges", deltas))
-    carried = ["n_life", "cents_life", "first_ts", "last_ts"]
-    if not bases:
-        return both_parties(newer, *carried).withColumns(known_counterparties(now))
-    base = _read(spark, "edges", bases)
-    in_base = base.select(*keys, F.col("last_ts").alias("base_ts"), F.lit(True).alias("in_base"))
-    found = in_base.join(newer.select(*keys), keys)
-    added = both_parties(newer.join(found, keys, "left"), *carried, "in_base", "base_ts")
-
-    def counted_in_base(span: str) -> Column:
-        start = span_start(span, now)
-        inside = F.col("in_base") if start is None else F.col("in_base") & (F.col("base_ts") >= start)
-        return F.coalesce(inside, F.lit(False))
-
-    only_newer = {
-        f"known_{span}": F.when(~counted_in_base(span), known_counterparty(span_start(span, now))) for span in SPANS
-    }
-    base_rows = both_parties(base, *carried).withColumns(known_counterparties(now))
-    return base_rows.unionByName(added.withColumns(only_newer).drop("in_base", "base_ts"))
+def _next_midnight(moment: datetime) -> datetime:
+    return moment.replace(hour=0, minute=0, second=0, microsecond=0) + timedelta(days=1)
 
 
 def metrics(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> DataFrame:
     """The 45-column metric table from state; equals a recomputation from the ledger."""
     now = F.lit(utc(as_of))
     starts = _starts(as_of)
+    first_days = {s.date() for s in starts.values()}
+
+    def in_windows(inside: Callable[[str], Column], **values: Column) -> list[Column]:
+        return [F.when(inside(w), value).alias(f"{name}_{w}") for w in TRAILING_WINDOWS for name, value in values.items()]
+
+    def on_first_day(ts: str) -> Callable[[str], Column]:
+        return lambda w: (F.col(ts) >= F.lit(starts[w])) & (F.col(ts) < F.lit(_next_midnight(starts[w])))
+
+    def on_any_first_day(ts: str) -> Column:
+        inside = on_first_day(ts)
+        any_day = F.lit(False)
+        for w in TRAILING_WINDOWS:
+            any_day = any_day | inside(w)
+        return any_day
+
+    one = F.lit(1).cast("bigint")
+    days = _rows(spark, config, "days", batch_id)
+    whole_days = days.select(
+        "role", "user", "first_ts",
+        F.col("n").alias("n_life"), F.col("cents").alias("cents_life"), F.col("pairs").alias("known_life"),
+        *in_windows(lambda w: F.col("day") > F.lit(starts[w].date()), n=F.col("n"), cents=F.col("cents"), known=F.col("pairs")),
+    )
 
-    pairs = _pairs(spark, config, batch_id, now)
-
-    def window_columns(inside: Callable[[str], Column], n: Column, money: Column) -> list[Column]:
-        columns = []
-        for label in TRAILING_WINDOWS:
-            columns.append(F.when(inside(label), n).alias(f"n_{label}"))
-            columns.append(F.when(inside(label), money).alias(f"cents_{label}"))
-        return columns
-
-    oldest_hour = F.lit(_hour_of(_oldest_start(as_of)))
-    hours = _rows(spark, config, "hours", batch_id).filter(F.col("hour") > oldest_hour)
-    whole_hours = hours.select(
-        "role", "user",
-        *window_columns(lambda w: F.col("hour") > F.lit(_hour_of(starts[w])), F.col("n"), F.col("cents")),
+    first_rows = ledger.scan_days(spark, config.ledger, first_days).filter(F.col("batch_id") <= batch_id)
+    part_days = both_parties(first_rows.filter(on_any_first_day("ts")), "amount", "ts").select(
+        "role", "user", *in_windows(on_first_day("ts"), n=one, cents=cents("amount"))
     )
 
-    def in_first_hour(label: str) -> Column:
-        start = starts[label]
-        return (F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(_hour_of(start) + timedelta(hours=1)))
-
-    first_days = ledger.scan_days(spark, config.ledger, {s.date() for s in starts.values()})
-    first_rows = first_days.filter(F.col("batch_id") <= batch_id)
-    any_first_hour = F.lit(False)
-    for label in TRAILING_WINDOWS:
-        any_first_hour = any_first_hour | in_first_hour(label)
-    part_hours = both_parties(first_rows.filter(any_first_hour), "amount", "ts").select(
-        "role", "user",
-        *window_columns(in_first_hour, F.lit(1).cast("bigint"), cents("amount")),
+    bases, deltas = _paths(spark, config, "pairs", batch_id)
+    old_pairs = _read(spark, PAIR_BASE, bases).filter(F.col("last_day").isin(sorted(first_days))).drop("last_day")
+    last_seen = _merge_pairs(old_pairs.unionByName(_read(spark, PAIRS, deltas)))
+    part_pairs = both_parties(last_seen.filter(on_any_first_day("last_ts")), "last_ts").select(
+        "role", "user", *in_windows(on_first_day("last_ts"), known=one)
     )
 
-    rows = pairs.unionByName(whole_hours, allowMissingColumns=True).unionByName(part_hours, allowMissingColumns=True)
-    banks = _MERGE["banks"](_rows(spark, config, "banks", batch_id))
+    rows = whole_days.unionByName(part_days, allowMissingColumns=True).unionByName(part_pairs, allowMissingColumns=True)
+    banks = _merge_banks(_rows(spark, config, "banks", batch_id))
     return assemble(per_user(rows).join(banks, "user", "left"), now)

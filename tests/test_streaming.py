@@ -51,7 +51,7 @@ def test_state_equals_recomputation_after_every_batch(spark, tiny):
         if i in (1, 2):  # replay, also of a batch that had just been compacted
             monitor.process_batch(spark, settings, lines, i)
             assert rows(snapshots.read_latest(spark, config.user_metrics)) == got
-    assert len(snapshots.committed_versions(spark, f"{config.state}/edges/base")) >= 1
+    assert len(snapshots.committed_versions(spark, f"{config.state}/days/base")) >= 1
     log = monitor.read_batch_log(spark, config)
     assert log.count() == len(moments)
     total = fixtures.message_lines(tx).count()
