@@ -93,6 +93,7 @@ def process_batch(spark: SparkSession, config: MonitorConfig, batch: DataFrame,
 
 
 def _days_of(tx: DataFrame) -> list:
+    """The calendar days a batch touches: a handful, however many rows it has."""
     return [row["dt"] for row in tx.select("dt").distinct().collect()]
 
 

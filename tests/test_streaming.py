@@ -91,13 +91,16 @@ def test_empty_batch_is_skipped(spark):
     assert snapshots.committed_versions(spark, config.user_metrics) == []
 
 
-def test_batch_of_rejects_only(spark, make_tx):
-    config = config_for(spark, clock=lambda: at("2024-01-02T00:00:00"))
+@pytest.mark.parametrize("incremental", [True, False])
+def test_batch_of_rejects_only(spark, make_tx, incremental):
+    config = config_for(spark, incremental=incremental, clock=lambda: at("2024-01-02T00:00:00"))
+    broken = spark.createDataFrame([("{bad",)], "value string")
+    monitor.process_batch(spark, config, broken, 0)
+    assert snapshots.read_latest(spark, config.user_metrics).count() == 0
     good = fixtures.message_lines(make_tx(("a", "b", 1.0, "2024-01-01T10:00:00")), False)
-    monitor.process_batch(spark, config, good, 0)
-    monitor.process_batch(spark, config, spark.createDataFrame([("{bad",)], "value string"), 1)
+    monitor.process_batch(spark, config, good, 1)
     assert snapshots.read_latest(spark, config.user_metrics).count() == 2
-    assert [r.rejected_rows for r in monitor.read_batch_log(spark, config).orderBy("v").collect()] == [0, 1]
+    assert [r.rejected_rows for r in monitor.read_batch_log(spark, config).orderBy("v").collect()] == [1, 0]
 
 
 def test_ledger_without_checkpoint_is_refused(spark, make_tx):
