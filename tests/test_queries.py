@@ -4,9 +4,9 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from tallywatch.catalog.oracle import ORACLE as SQL
+from tallywatch.catalog.queries import QUERIES
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
