@@ -174,3 +174,40 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tallywatch-code-"), "tallywatch_code"), "zip", os.path.dirname(root), os.path.basename(root))
     sc.addPyFile(archive)
     sc._tallywatch_shipped = True
+
+
+def join_salted(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
+    """Inner join with ``right``, which has one row per key, for right rows too large to broadcast.
+
+    Keys with over a thousandth of the left rows (at most a thousand keys) are cut into salts by a hash of ``spread_by``, and
+    only their right rows are repeated per salt. ``left`` is read more than once: pass a stored table.
+    """
+    counts = left.groupBy(*keys).count()
+    total = left.count()
+    hot = stored(counts.filter(F.col("count") * HOT_SHARE > total).select(*keys, F.ceil(F.col("count") * HOT_SHARE / F.lit(max(1, total))).cast("int").alias("_salts")), "hot-keys")
+    hot = F.broadcast(hot)
+    salted = left.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+    copies = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node and root (its component's smallest node) for every node of the edges (a, b), by large-star and small-star steps.
+
+    Each step replaces a node's edges by edges to the smallest node it knows; minima come from aggregates and are joined
+    back with hot nodes broadcast, so a node with very many neighbours is never gathered. Every step is a stored table.
+    """
+    edges = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    while True:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "edges-least")
+        large = join_unique(both, least, ["a"], "n").filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+        large = stored(large, "edges-large")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "edges-least")
+        small = join_unique(large, least, ["a"], "n").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        # Done when all are stars: no child has two parents, and no parent is a child.
+        n, children = edges.agg(F.count("*"), F.count_distinct("a")).first()
+        if n == children and not edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count():
+            roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

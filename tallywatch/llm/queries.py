@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import chat_format, fingerprints, license_scan, line_dedup, mixing, packing, quality_rules, sentence_dedup, sharding
+from tallywatch.llm import chat_format, fingerprints, jaccard_join, license_scan, line_dedup, mixing, packing, quality_rules, sentence_dedup, sharding
 from tallywatch.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +27,7 @@ QUERIES: dict[str, Query] = {
     for fn in (
         line_dedup.op1_line_dedup, packing.op2_best_fit_packing, mixing.op3_poisson_mixing, quality_rules.op4_quality_trees,
         sentence_dedup.op5_sentence_spans, license_scan.op6_license_scan, chat_format.op7_chat_format,
-        sharding.op8_minimax_shards, fingerprints.op9_merkle_fingerprints,
+        sharding.op8_minimax_shards, fingerprints.op9_merkle_fingerprints, jaccard_join.op10_ngram_jaccard,
     )
 }
 ORACLE: dict[str, str] = {
