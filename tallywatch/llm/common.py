@@ -107,9 +107,19 @@ def shingle_set(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(window_hashes(hashes, min(width, len(hashes)))) if len(hashes) else hashes
 
 
-def _slot(value: int) -> int:
-    """Spark's ``xxhash64`` of a long: XXH64 of its eight bytes with seed 42."""
-    return xxhash.xxh64_intdigest(value.to_bytes(8, "little", signed=True), seed=42)
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def spark_hash(values: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64`` of long values: the published XXH64 of their eight bytes with seed 42."""
+    # The five primes of XXH64.
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    x = _rotated(values.view(np.uint64) * p2, 31) * p1 ^ (p5 + np.uint64(42 + 8))
+    x = _rotated(x, 27) * p1 + p4
+    x = (x ^ (x >> np.uint64(33))) * p2
+    x = (x ^ (x >> np.uint64(29))) * p3
+    return x ^ (x >> np.uint64(32))
 
 
 class IdFilter:
@@ -138,13 +148,18 @@ class IdFilter:
 
     def local_test(self):
         """The same for one 64-bit id in a task, given as a signed integer."""
+        many = self.local_tests()
+        return lambda value: bool(many(np.array([value], dtype=np.int64))[0])
+
+    def local_tests(self):
+        """The same for an array of ids."""
         bitmap, bits = self._bitmap, self._bits
 
-        def maybe(value: int) -> bool:
-            at = _slot(value) & (bits - 1)
-            return bool((bitmap.value[at >> 5] >> (at & 31)) & 1)
+        def known(values: np.ndarray) -> np.ndarray:
+            at = (spark_hash(values) & np.uint64(bits - 1)).astype(np.int64)
+            return (bitmap.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
 
-        return maybe
+        return known
 
     def test(self, column: str) -> Column:
         bitmap, bits = self._bitmap, self._bits

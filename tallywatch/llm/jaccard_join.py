@@ -266,7 +266,9 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def grouped(docs: DataFrame, width: int = 5, part: int = 4, of: int = 5) -> DataFrame:
-    """doc_id, text_hash, n_shingles and component_id, the smallest doc_id that links reach, for every row of ``docs``.
+    """doc_id, text_hash, n_shingles, component_id (the smallest doc_id that links reach) and root, for every row of ``docs``.
+
+    ``root`` names the component itself; it differs between components even where rows of different texts share a doc_id.
 
     A text is its set of distinct ``width``-word shingles, with A-Z lower-cased; a shorter text is one shingle, and an empty or
     null one is linked with nothing. Documents link if ``of`` * intersection >= ``part`` * union.
@@ -293,10 +295,11 @@ def grouped(docs: DataFrame, width: int = 5, part: int = 4, of: int = 5) -> Data
     rooted = first.join(found, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     rooted = common.stored(rooted, "jaccard-roots")
     least = rooted.groupBy("root").agg(F.min("doc").alias("component_id"), F.sum("n").alias("n"))
-    named = common.join_unique(rooted.select("sid", "root"), common.stored(least, "jaccard-least"), ["root"], "n").select("sid", "component_id")
+    named = common.join_unique(rooted.select("sid", "root"), common.stored(least, "jaccard-least"), ["root"], "n").select("sid", "root", "component_id")
     named = common.stored(named.join(first.select("sid", "n"), "sid"), "jaccard-named")
-    linked_rows = common.join_unique(some, named, ["sid"], "n").select("doc_id", "text_hash", "n_shingles", "component_id")
-    return linked_rows.unionByName(sets.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id")))
+    linked_rows = common.join_unique(some, named, ["sid"], "n").select("doc_id", "text_hash", "n_shingles", "component_id", "root")
+    alone = sets.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"))
+    return linked_rows.unionByName(alone)
 
 
 def one_per_group(docs: DataFrame, width: int = 5, part: int = 4, of: int = 5) -> DataFrame:
@@ -306,9 +309,9 @@ def one_per_group(docs: DataFrame, width: int = 5, part: int = 4, of: int = 5) -
     """
     groups = common.stored(grouped(docs, width, part, of), "jaccard-groups")
     row = F.struct(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("d"), "text_hash")
-    group = [F.coalesce("component_id", F.lit(2**63 - 1)).alias("g"), F.when(F.col("n_shingles") == 0, F.col("text_hash")).alias("h"), F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("own")]
-    keyed = groups.select(row.alias("row"), *group)
-    kept = keyed.groupBy("g", "h", "own").agg(F.min("row").alias("kept")).select("kept.*")
+    keyed = groups.select(row.alias("row"), "root")
+    kept = keyed.filter("root IS NOT NULL").groupBy("root").agg(F.min("row").alias("kept")).select("kept.*")
+    kept = kept.unionByName(keyed.filter("root IS NULL").select("row.*").distinct())
     rows = keyed.groupBy("row.d", "row.text_hash").count().join(kept.withColumn("keep", F.lit(True)), ["d", "text_hash"], "left")
     open_ = common.stored(rows.filter("keep IS NULL OR count > 1").withColumn("code", F.xxhash64("d", "text_hash")), "jaccard-verdicts")
     maybe = common.IdFilter(open_, "code")

@@ -106,6 +106,58 @@ def _known(docs: DataFrame, wanted: common.IdFilter, emit_line, schema: pa.Schem
     return _map(docs, emit, schema, ddl)
 
 
+class _Variants:
+    """Variants of the lines that share a half, without the characters in that half: those can't be what differs."""
+
+    def __init__(self, heads: common.IdFilter, tails: common.IdFilter, met: common.IdFilter | None = None):
+        self.head, self.tail, self.met = heads.local_test(), tails.local_test(), met.local_tests() if met else None
+
+    def __call__(self, line: int, alike: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """(variants, positions of the missing character, -1 for the whole line)."""
+        head, tail, n = self.head(line), self.tail(line), len(alike)
+        if not (head or tail):
+            return None
+        whole, without = variants(alike)
+        at = np.arange(0 if tail else (n - 1) // 2, n if head else n // 2 + 1)
+        values = np.concatenate((np.array([whole], dtype=np.uint64), without[at])).view(np.int64)
+        at = np.concatenate(([-1], at)).astype(np.int32)
+        if self.met:
+            kept = self.met(values)
+            values, at = values[kept], at[kept]
+        return values, at
+
+
+def _emitted(docs: DataFrame, of: _Variants) -> DataFrame:
+    schema = pa.schema([("variant", pa.int64()), ("at", pa.int32()), ("line", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held: list[tuple] = []
+        rows = 0
+
+        def batch() -> pa.RecordBatch:
+            lines = np.repeat(np.array([x[0] for x in held], dtype=np.int64), [len(x[1]) for x in held])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[1] for x in held])), pa.array(np.concatenate([x[2] for x in held])), pa.array(lines)], schema=schema)
+
+        for (text,) in common.arrow_rows(batches, ["text"]):
+            for _, alike in lines_of(text):
+                if len(alike) < NEAR_CHARS or (line := _signed(line_hash(alike))) in seen:
+                    continue
+                if len(seen) > 500_000:
+                    seen.clear()
+                seen.add(line)
+                if made := of(line, alike):
+                    held.append((line, *made))
+                    rows += len(made[0])
+                    if rows > 50_000:
+                        yield batch()
+                        held, rows = [], 0
+        if held:
+            yield batch()
+
+    return docs.select("text").mapInArrow(run, "variant long, at int, line long")
+
+
 def near_lines(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Lines that are within one edit of an earlier one: line and other.
 
@@ -114,26 +166,19 @@ def near_lines(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     the same position differ in that character; a line that is another's variant lacks one. For each such set only
     its earliest line matters, so sets are reduced by aggregation, never paired; the pairs that remain, a few per line,
     are checked by edit distance.
+
+    Variants are emitted twice: all of them as (variant, line) to find those that two lines have, and then those only.
     """
-    halves = nodes.filter("halves IS NOT NULL").select("line", F.explode(F.array_distinct("halves")).alias("half"))
+    halves = nodes.filter("halves IS NOT NULL").select("line", F.posexplode("halves").alias("side", "half")).withColumn("side", F.col("side") % 2)
     shared = halves.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.count("*").alias("n")).filter("a < b").drop("a", "b")
     shared = common.stored(shared, "line-halves")
-    near = common.stored(common.join_unique(halves, shared, ["half"], "n").select("line").distinct(), "line-candidates")
-    wanted = common.IdFilter(near, "line")
-
-    def emit(line: int, alike: str) -> Iterator[tuple]:
-        whole, without = variants(alike)
-        yield _signed(whole), -1, line
-        for k, v in enumerate(without.view(np.int64).tolist()):
-            yield v, k, line
-
-    schema = pa.schema([("variant", pa.int64()), ("at", pa.int32()), ("line", pa.int64())])
-    rows = _known(docs, wanted, emit, schema, "variant long, at int, line long").distinct()
+    near = common.stored(common.join_unique(halves, shared, ["half"], "n").select("line", "side").distinct(), "line-candidates")
+    heads, tails = common.IdFilter(near.filter("side = 0"), "line"), common.IdFilter(near.filter("side = 1"), "line")
+    two = _emitted(docs, _Variants(heads, tails)).groupBy("variant").agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a < b").select("variant")
+    met = common.IdFilter(common.stored(two, "line-met"), "variant")
+    rows = common.stored(_emitted(docs, _Variants(heads, tails, met)).distinct(), "line-variants")
     place = nodes.select("line", F.struct("doc", "at").alias("first"))
-    rows = common.stored(rows, "line-variants")
-    placed = rows.select("line").distinct().join(place, "line")
-    placed = common.stored(placed, "line-places")
-    first = F.min(F.struct("first", "line"))
+    placed = common.stored(rows.select("line").distinct().join(place, "line"), "line-places")
     ranked = rows.join(placed, "line")
     # A line that has lost a character, against the line that is what remains of it.
     ends = ranked.groupBy("variant").agg(
@@ -141,7 +186,7 @@ def near_lines(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
     ).filter("whole IS NOT NULL AND cut IS NOT NULL")
     # Lines that differ in the character at one place.
-    swaps = ranked.filter("at >= 0").groupBy("variant", "at").agg(first.alias("least"), F.count("*").alias("n")).filter("n > 1")
+    swaps = ranked.filter("at >= 0").groupBy("variant", "at").agg(F.min(F.struct("first", "line")).alias("least"), F.count("*").alias("n")).filter("n > 1")
     ends, swaps = common.stored(ends, "line-ends"), common.stored(swaps, "line-swaps")
     by_end = common.join_unique(rows, ends, ["variant"], "n").select("line", F.when(F.col("at") == -1, F.col("cut")).otherwise(F.col("whole")).alias("other"))
     by_swap = common.join_unique(rows.filter("at >= 0"), swaps, ["variant", "at"], "n").select("line", F.col("least").alias("other"))
