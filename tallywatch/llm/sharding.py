@@ -29,13 +29,14 @@ class Prefix:
         self.refine([(0, total)])
 
     def refine(self, ranges: list[tuple[int, int]]) -> None:
-        """Read the values in each range (both ends included) in cells of equal width; replaces the cells in there."""
-        width = max(1, -(-sum(b - a + 1 for a, b in ranges) // CELLS))
+        """Read the values in each range (both ends included) in finer cells, four at least; replaces the cells in there."""
+        cells = max(4, CELLS // len(ranges))
         cell: Column = F.lit(None).cast("long")
         near: Column = F.lit(False)
         first = 0
         for a, b in ranges:
             inside = F.col("end").between(a, b)
+            width = -(-(b - a + 1) // cells)
             near = near | inside
             cell = F.when(inside, F.floor((F.col("end") - a) / width) + first).otherwise(cell)
             first += (b - a) // width + 1

@@ -67,7 +67,7 @@ def test_packed_plan_is_whole_and_free_of_conflicts(docs, odd):
         ends = sorted(zip(b.bin_offset, b.bin_offset + b.n_words, strict=True))
         assert all(x[1] <= y[0] for x, y in zip(ends, ends[1:], strict=False)) and ends[-1][1] <= 64 and not b.source.duplicated().any()
     whole = packing.packed(odd)
-    assert Counter(r.doc_id for r in whole.filter("piece_is_first" if False else "first_word = 0").collect()) == Counter(r.doc_id for r in odd.collect())
+    assert Counter(r.doc_id for r in whole.filter("first_word = 0").collect()) == Counter(r.doc_id for r in odd.collect())
     assert packing.packed_texts(odd, whole).count() == whole.count() and packing.packed(odd.limit(0)).count() == 0
 
 
