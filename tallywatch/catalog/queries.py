@@ -21,7 +21,6 @@ QUERIES: dict[str, Query] = {}
 
 MICRO_BATCHES = 2
 LATE_AFTER_SECONDS = 7 * 86_400
-SERIES_DELAY_SECONDS = 60
 
 
 def query(fn: Query) -> Query:
@@ -433,9 +432,9 @@ def stream_dedup(spark, sf_dir):
     root = scratch_path(spark, "dedup")
     per_batch = _feed(lines.unionByName(lines), f"{root}/in")
     stream = messages.read_transaction_stream(spark, "json-lines", f"{root}/in", max_per_trigger=per_batch)
-    once = dedup.dedup_stream(clean.clean(stream).select(*TX_COLUMNS), "90 days")
-    live.write_table(once, f"{root}/out", f"{root}/check", available_now=True).awaitTermination()
-    return plain(spark.read.parquet(f"{root}/out"))
+    tx = clean.clean(stream).select(*TX_COLUMNS)
+    live.write_first_deliveries(tx, f"{root}/out", f"{root}/check", available_now=True).awaitTermination()
+    return plain(spark.read.parquet(f"{root}/out").select(*TX_COLUMNS))
 
 
 @query
@@ -449,14 +448,13 @@ def stream_monitor_dedup(spark, sf_dir):
 
 @query
 def stream_tx_per_second(spark, sf_dir):
-    """Live per-second counts; input arrives in time order over several runs of one query."""
+    """Live per-second counts; the newest week arrives first, so that every other row is late."""
     tx = fixtures.tx_burst(spark, sf_dir)
     now = fixtures.newest(tx)
     root = scratch_path(spark, "series")
     recent = F.col("ts") >= scalars.before(F.lit(now), 604_800)
-    for part in (tx.filter(~recent), tx.filter(recent)):
+    for part in (tx.filter(recent), tx.filter(~recent)):
         _feed(fixtures.message_lines(part, bad_lines=False), f"{root}/in")
         stream = clean.clean(messages.read_transaction_stream(spark, "json-lines", f"{root}/in"))
-        series = live.tx_per_second_stream(stream, f"{SERIES_DELAY_SECONDS} seconds")
-        live.write_table(series, f"{root}/out", f"{root}/check", available_now=True).awaitTermination()
-    return plain(spark.read.parquet(f"{root}/out"))
+        live.write_seconds(stream, f"{root}/out", f"{root}/check", available_now=True).awaitTermination()
+    return plain(live.read_seconds(spark, f"{root}/out"))

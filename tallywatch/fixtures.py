@@ -19,6 +19,8 @@ BURST_PROFILES = [
     (9000003, 40, 40, 10.0, 4, 4, 100.0),
     (9000004, 40, 40, 10.0, 12, 1, 20.0),
     (9000005, 40, 40, 10.0, 12, 12, 5.0),
+    (9000006, 40, 5, 0.004, 5, 5, 2e13),
+    (9000007, 1, 1, 9.9e12, 10000, 1, 9.9e12),
 ]
 BAD_LINES = [
     '{bad',
@@ -58,7 +60,7 @@ def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tx_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``tx_events`` plus five senders whose last three hours exercise each rule."""
+    """``tx_events`` plus senders whose last three hours exercise each rule, and very small and large amounts."""
     base = tx_events(spark, sf_dir)
     profiles = spark.createDataFrame(
         BURST_PROFILES, "sender bigint, hn int, hfan int, ha double, bn int, bfan int, ba double"

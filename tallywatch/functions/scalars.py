@@ -19,17 +19,24 @@ def format_event_time(ts: Column | str) -> Column:
     return F.date_format(ts, EVENT_TIME_PATTERN)
 
 
-def cents(amount: Column | str) -> Column:
-    """Money as a whole number of cents, so that sums do not depend on row order.
+def exact_part(amount: Column | str) -> Column:
+    """The amount to nine decimals, so that sums do not depend on row order; NULL from 1e18 on and for NaN.
 
-    An amount that is no money value (NaN, infinity, beyond the bigint range) gives NULL.
+    Sums of it are decimal(38,9) and hold 1e11 of the largest.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(amount * F.lit(100.0)).try_cast("bigint")
+    return F.when(F.abs(amount) < F.lit(1e18), amount).try_cast("decimal(28,9)")
 
 
-def from_cents(total: Column) -> Column:
-    return total.cast("double") / F.lit(100.0)
+def rest_part(amount: Column | str) -> Column:
+    """What :func:`exact_part` leaves out: 0 for money values, digits beyond the ninth, or the whole amount."""
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    return amount - F.coalesce(exact_part(amount).cast("double"), F.lit(0.0))
+
+
+def money(exact: Column, rest: Column) -> Column:
+    """The total of both sums; NULL where there was no amount."""
+    return F.coalesce(exact.cast("double"), F.lit(0.0)) + rest
 
 
 def round2(value: Column | str) -> Column:

@@ -5,38 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.functions.scalars import cents, from_cents
+from tallywatch.functions.scalars import exact_part, money, rest_part
 from tallywatch.operators.edges import both_parties
 from tallywatch.session import shared_dir
 
 # Moves are applied in this order within a user.
 MOVE_ORDER = ["ts", "tx_id", "role", "counterparty", "amount"]
 
-# A user with more moves than this is cut into ranges instead of being sorted by one task.
-HOT_USER_ROWS = 5_000_000
 
-
-def running_balance(tx: DataFrame, opening: DataFrame | None = None, hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
+def running_balance(tx: DataFrame, opening: DataFrame | None = None) -> DataFrame:
     """Every move of every account with the balance after it and whether it overdraws the account.
 
     ``opening``: optional (user, balance), one row per user; accounts start at 0 without it.
-    Overdrafts are flagged, not refused.
+    Overdrafts are flagged, not refused. Range partitioning is made durable while the plan is built.
     """
+    sign = F.when(F.col("role") == "sent", -1).otherwise(1)
     moves = (
         both_parties(tx, "tx_id", "ts", "amount")
         .filter(F.col("user").isNotNull())
-        .withColumn("change", F.when(F.col("role") == "sent", -cents("amount")).otherwise(cents("amount")))
+        .withColumn("change", sign * F.col("amount"))
     )
-    balances = _running_change(moves, hot_user_rows)
-    after = F.col("running")
+    moves = moves.withColumns({"exact": exact_part("change"), "rest": rest_part("change")}).drop("change")
+    balances = _running_change(moves)
+    after = money(F.col("exact"), F.col("rest"))
     if opening is not None:
-        start = opening.select("user", cents("balance").alias("start"))
+        start = opening.select("user", exact_part("balance").alias("exact_0"), rest_part("balance").alias("rest_0"))
         balances = balances.join(start, "user", "left")
-        after = after + F.coalesce("start", F.lit(0))
+        after = money(
+            F.col("exact") + F.coalesce("exact_0", F.lit(0)), F.col("rest") + F.coalesce("rest_0", F.lit(0.0))
+        )
+    balances = balances.withColumn("balance", after)
     return balances.select(
-        "user", "role", "counterparty", "tx_id", "ts", "amount",
-        from_cents(after).alias("balance"),
-        ((F.col("role") == "sent") & (after < 0)).alias("overdraft"),
+        "user", "role", "counterparty", "tx_id", "ts", "amount", "balance",
+        ((F.col("role") == "sent") & (F.col("balance") < 0)).alias("overdraft"),
     )
 
 
@@ -45,38 +46,29 @@ def overdrafts(balances: DataFrame) -> DataFrame:
     return balances.filter("overdraft")
 
 
-def _running_change(moves: DataFrame, hot_user_rows: int) -> DataFrame:
-    shared_dir(moves.sparkSession)
-    # At most (all rows / hot_user_rows) users; the count itself combines on the map side.
-    hot_users = moves.groupBy("user").count().filter(F.col("count") > hot_user_rows).select("user").checkpoint()
-    if hot_users.isEmpty():
-        return _running_in(moves, "user")
-    cold = _running_in(moves.join(hot_users, "user", "left_anti"), "user")
-    hot = _running_in_ranges(moves.join(hot_users, "user", "left_semi"))
-    return cold.unionByName(hot)
-
-
-def _running_in(moves: DataFrame, *keys: str) -> DataFrame:
-    upto_here = Window.partitionBy(*keys).orderBy(*MOVE_ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return moves.withColumn("running", F.sum("change").over(upto_here))
-
-
-def _running_in_ranges(moves: DataFrame) -> DataFrame:
+def _running_change(moves: DataFrame) -> DataFrame:
     """Prefix sum in two levels: ranges of moves, then the moves inside each range.
 
     Range partitioning cuts a big user between rows. The checkpoint fixes which row went to which
     range before range totals and rows are joined, also if an executor is lost in between.
     """
+    shared_dir(moves.sparkSession)
     ranges = (
         moves.repartitionByRange("user", *MOVE_ORDER)
         .withColumn("range_no", F.spark_partition_id())
         .checkpoint()
     )
     earlier = Window.partitionBy("user").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        ranges.groupBy("user", "range_no")
-        .agg(F.sum("change").alias("range_change"))
-        .select("user", "range_no", F.coalesce(F.sum("range_change").over(earlier), F.lit(0)).alias("carried"))
+    upto_here = (
+        Window.partitionBy("user", "range_no").orderBy(*MOVE_ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    carried = ranges.groupBy("user", "range_no").agg(F.sum("exact").alias("exact"), F.sum("rest").alias("rest")).select(
+        "user", "range_no",
+        F.coalesce(F.sum("exact").over(earlier), F.lit(0)).alias("exact_before"),
+        F.coalesce(F.sum("rest").over(earlier), F.lit(0.0)).alias("rest_before"),
     )
-    inside = _running_in(ranges.join(carried, ["user", "range_no"]), "user", "range_no")
-    return inside.withColumn("running", F.col("running") + F.col("carried")).drop("range_no", "carried")
+    # A row without an exact part adds nothing to the exact sum.
+    return ranges.join(carried, ["user", "range_no"]).withColumns({
+        "exact": F.coalesce(F.sum("exact").over(upto_here), F.lit(0)) + F.col("exact_before"),
+        "rest": F.coalesce(F.sum("rest").over(upto_here), F.lit(0.0)) + F.col("rest_before"),
+    }).drop("range_no", "exact_before", "rest_before")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,24 +16,14 @@ def dedup_tx(tx: DataFrame) -> DataFrame:
     return kept.select(*[F.col("tx_id") if c == "tx_id" else F.col(f"kept.{c}").alias(c) for c in tx.columns])
 
 
-def without_seen(tx: DataFrame, seen: DataFrame) -> DataFrame:
-    """Rows whose ``tx_id`` is not in ``seen``."""
-    return tx.join(seen.select("tx_id"), "tx_id", "left_anti").select(*tx.columns)
-
-
-def dedup_stream(tx: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Streaming form: repeats within ``delay`` of the first delivery are dropped, state stays bounded.
+def seen_ids(ids: DataFrame, seen: DataFrame) -> DataFrame:
+    """The ids of ``ids`` that ``seen`` holds.
 
-    Each Arrow batch first drops its own repeats, so a flood of copies of one id does not go to the
-    one task that owns the id's state.
+    ``ids`` is the small side: while Spark finds it small enough to broadcast, ``seen`` is not shuffled.
     """
+    return seen.select("tx_id").join(ids.select("tx_id").distinct(), "tx_id", "left_semi").distinct()
 
-    # Defined here so that it travels with the plan: workers need not have this package installed.
-    def first_of_each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.table({"tx_id": batch.column("tx_id"), "row": pa.array(range(batch.num_rows), pa.int64())})
-            first = rows.group_by("tx_id").aggregate([("row", "min")]).column("row_min")
-            yield batch.take(first.combine_chunks().sort())
 
-    thinned = tx.mapInArrow(first_of_each_id, tx.schema)
-    return thinned.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["tx_id"])
+def without(tx: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose ``tx_id`` is not in ``ids``."""
+    return tx.join(ids, "tx_id", "left_anti").select(*tx.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.scalars import before, cents, from_cents
+from tallywatch.functions.scalars import before, exact_part, money, rest_part
 from tallywatch.schema import TRAILING_WINDOWS
 
 
@@ -35,16 +35,17 @@ def legs(tx: DataFrame) -> DataFrame:
 
 
 def edge_totals(tx: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """One row per (sender, receiver): count, cents, first and last time, optionally per window.
+    """One row per (sender, receiver): count, money, first and last time, optionally per window.
 
     A pair's sent and received side are the same rows, so one shuffle of pair totals serves both
     roles. All buffers are fixed-width numbers, which keeps this a hash aggregate with map-side
     combine: a pair that holds most of the rows is folded before the shuffle.
     """
-    money = cents("amount")
+    exact, rest = F.col("exact"), F.col("rest")
     totals = [
         F.count("*").alias("n_life"),
-        F.sum(money).alias("cents_life"),
+        F.sum(exact).alias("exact_life"),
+        F.sum(rest).alias("rest_life"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
     ]
@@ -52,19 +53,21 @@ def edge_totals(tx: DataFrame, as_of: Column | None = None) -> DataFrame:
         for label, seconds in TRAILING_WINDOWS.items():
             inside = F.col("ts") >= before(as_of, seconds)
             totals.append(F.count(F.when(inside, 1)).alias(f"n_{label}"))
-            totals.append(F.sum(F.when(inside, money)).alias(f"cents_{label}"))
-    return tx.groupBy("send_id", "receive_id").agg(*totals)
+            totals.append(F.sum(F.when(inside, exact)).alias(f"exact_{label}"))
+            totals.append(F.sum(F.when(inside, rest)).alias(f"rest_{label}"))
+    parts = tx.select("send_id", "receive_id", "ts", exact_part("amount").alias("exact"), rest_part("amount").alias("rest"))
+    return parts.groupBy("send_id", "receive_id").agg(*totals)
 
 
 def pair_edges(tx: DataFrame) -> DataFrame:
     """Per user, role and counterparty: count, total amount, first and last time."""
-    edges = both_parties(edge_totals(tx), "n_life", "cents_life", "first_ts", "last_ts")
+    edges = both_parties(edge_totals(tx), "n_life", "exact_life", "rest_life", "first_ts", "last_ts")
     return edges.filter(F.col("user").isNotNull()).select(
         "user",
         "role",
         "counterparty",
         F.col("n_life").alias("tx_count"),
-        from_cents(F.col("cents_life")).alias("total"),
+        money(F.col("exact_life"), F.col("rest_life")).alias("total"),
         "first_ts",
         "last_ts",
     )

@@ -1,24 +1,77 @@
-"""Streaming views that keep their own bounded state."""
+"""Streaming tables of one folder per batch: a replayed batch replaces its folder, late rows are kept."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tallywatch.operators.dedup import dedup_tx, seen_ids, without
+from tallywatch.sources import storage
+
+SECONDS_SCHEMA = "second timestamp, tx_count bigint, batch_id bigint"
+
+
+def _when(available_now: bool, trigger: str) -> dict:
+    return {"availableNow": True} if available_now else {"processingTime": trigger}
+
+
+def _each_batch(
+    tx: DataFrame, work: Callable[[DataFrame, int], DataFrame], path: str, checkpoint: str, available_now: bool, trigger: str
+) -> StreamingQuery:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        work(batch, batch_id).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        tx.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(**_when(available_now, trigger)).start()
+    )
+
+
+def write_first_deliveries(
+    tx: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds"
+) -> StreamingQuery:
+    """One row per ``tx_id`` over the whole life of the stream, however late it comes.
+
+    The written table is the memory: a batch reads the id column of earlier batches, and keeps no state.
+    """
+    schema = StructType.fromJson(tx.schema.jsonValue()).add("batch_id", "bigint")
+
+    def first(batch: DataFrame, batch_id: int) -> DataFrame:
+        once = dedup_tx(batch)
+        if not storage.exists(batch.sparkSession, path):
+            return once
+        earlier = batch.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch_id") < batch_id)
+        return without(once, seen_ids(batch, earlier))
+
+    return _each_batch(tx, first, path, checkpoint, available_now, trigger)
+
+
+def write_seconds(
+    tx: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds"
+) -> StreamingQuery:
+    """Transactions per second as partial counts of each batch, the newest second and late rows included."""
+
+    def counts(batch: DataFrame, batch_id: int) -> DataFrame:
+        timed = batch.filter(F.col("ts").isNotNull())
+        return timed.groupBy(F.date_trunc("second", "ts").alias("second")).agg(F.count("*").alias("tx_count"))
+
+    return _each_batch(tx, counts, path, checkpoint, available_now, trigger)
 
 
-def tx_per_second_stream(tx: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """Transactions per second; a second is final once ``delay`` has passed beyond it."""
-    seconds = F.window("ts", "1 second")
-    counts = tx.withWatermark("ts", delay).groupBy(seconds).agg(F.count("*").alias("tx_count"))
-    return counts.select(F.col("window.start").alias("second"), "tx_count")
+def read_seconds(spark: SparkSession, path: str) -> DataFrame:
+    """(second, tx_count) of everything that :func:`write_seconds` has written so far."""
+    parts = spark.read.schema(SECONDS_SCHEMA).parquet(path)
+    return parts.groupBy("second").agg(F.sum("tx_count").alias("tx_count"))
 
 
 def write_table(rows: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds") -> StreamingQuery:
     """Append a streaming result to a Parquet table, each row exactly once across restarts."""
-    when = {"availableNow": True} if available_now else {"processingTime": trigger}
     return (
         rows.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", path)
-        .trigger(**when).start()
+        .trigger(**_when(available_now, trigger)).start()
     )

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallywatch.functions.scalars import before, parse_event_time, utc
 from tallywatch.operators.clean import clean, is_valid
-from tallywatch.operators.dedup import dedup_tx, without_seen
+from tallywatch.operators.dedup import dedup_tx, seen_ids, without
 from tallywatch.plans.activity import recent_tx
 from tallywatch.plans.metrics import user_metrics
 from tallywatch.schema import MonitorConfig
@@ -65,9 +65,10 @@ def process_batch(spark: SparkSession, config: MonitorConfig, batch: DataFrame,
         watch = Observation("batch")
         incoming = clean(observed(decoded, watch, as_of, config.late_after_seconds))
         if config.dedup:
-            days = _days_of(clean(decoded))
-            ledger.append(_first_deliveries(spark, config, incoming, days, batch_id), config.ledger, batch_id)
-            added = ledger.scan_days(spark, config.ledger, days).filter(F.col("batch_id") == batch_id)
+            repeats = _repeats(spark, config, clean(decoded), batch_id)
+            once = dedup_tx(incoming)
+            ledger.append(once if repeats is None else without(once, repeats), config.ledger, batch_id)
+            added = ledger.scan(spark, config.ledger).filter(F.col("batch_id") == batch_id)
         else:
             ledger.append(incoming, config.ledger, batch_id)
             added = clean(decoded)
@@ -92,18 +93,14 @@ def process_batch(spark: SparkSession, config: MonitorConfig, batch: DataFrame,
         decoded.unpersist()
 
 
-def _days_of(tx: DataFrame) -> list:
-    """The calendar days a batch touches: a handful, however many rows it has."""
-    return [row["dt"] for row in tx.select("dt").distinct().collect()]
-
-
-def _first_deliveries(spark: SparkSession, config: MonitorConfig, tx: DataFrame, days: list, batch_id: int) -> DataFrame:
-    """One row per id in the batch, without ids an earlier batch put under the same days.
+def _repeats(spark: SparkSession, config: MonitorConfig, tx: DataFrame, batch_id: int) -> DataFrame | None:
+    """The batch's ids that an earlier batch delivered, under whatever day.
 
     Looking only at earlier batches keeps a replay of this batch stable.
     """
-    earlier = ledger.scan_days(spark, config.ledger, days).filter(F.col("batch_id") < batch_id)
-    return without_seen(dedup_tx(tx), earlier)
+    if not storage.exists(spark, config.ledger):
+        return None
+    return seen_ids(tx, ledger.scan(spark, config.ledger, up_to_batch=batch_id - 1))
 
 
 def _recent(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Three tables, each a base version plus one small delta per batch since:
 
-* ``days``: (user, role, day) -> count, cents, first time, and how many counterparties were last seen
+* ``days``: (user, role, day) -> count, money, first time, and how many counterparties were last seen
   on that day. Sums over whole days give every metric, except for the one day a window starts in.
   Days before the longest window are folded into one row per user and role.
 * ``pairs``: (sender, receiver) -> last time. Tells a batch which of its pairs are new or move to a
@@ -21,13 +21,13 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.functions.scalars import cents, utc
+from tallywatch.functions.scalars import exact_part, rest_part, utc
 from tallywatch.operators.edges import both_parties
-from tallywatch.plans.metrics import assemble, per_user, user_bank
+from tallywatch.plans.metrics import assemble, per_user, user_bank, user_metrics
 from tallywatch.schema import TRAILING_WINDOWS, MonitorConfig
 from tallywatch.sources import ledger, snapshots, storage
 
-DAYS = "role string, user string, day date, n bigint, cents bigint, first_ts timestamp, pairs bigint"
+DAYS = "role string, user string, day date, n bigint, exact decimal(38,9), rest double, first_ts timestamp, pairs bigint"
 PAIRS = "send_id string, receive_id string, last_ts timestamp"
 PAIR_DELTA = PAIRS + ", prev_ts timestamp, is_new boolean"
 PAIR_BASE = PAIRS + ", last_day date"
@@ -65,6 +65,16 @@ def _paths(
     return bases, [snapshots.version_path(_delta(config, table), v) for v in deltas]
 
 
+def _folds(config: MonitorConfig) -> str:
+    return f"{config.state}/folds"
+
+
+def _folded_before(spark: SparkSession, config: MonitorConfig, batch_id: int) -> date | None:
+    """The first day that the base of this batch still holds apart."""
+    base = snapshots.latest_version(spark, _base(config, "days"), below=batch_id)
+    return None if base is None else spark.read.parquet(snapshots.version_path(_folds(config), base)).first()["day"]
+
+
 def _read(spark: SparkSession, schema: str, paths: list[str]) -> DataFrame:
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
@@ -112,7 +122,8 @@ def _day_delta(tx: DataFrame, pairs: DataFrame) -> DataFrame:
     """The batch's rows by day; a pair seen on a later day than before moves there."""
     legs = both_parties(tx, "amount", "ts").filter("user is not null")
     activity = legs.groupBy("role", "user", F.to_date("ts").alias("day")).agg(
-        F.count("*").alias("n"), F.sum(cents("amount")).alias("cents"), F.min("ts").alias("first_ts")
+        F.count("*").alias("n"), F.sum(exact_part("amount")).alias("exact"),
+        F.sum(rest_part("amount")).alias("rest"), F.min("ts").alias("first_ts")
     )
     now_on = F.struct(F.to_date("last_ts").alias("day"), F.lit(1).cast("bigint").alias("pairs"))
     no_longer_on = F.struct(F.to_date("prev_ts").alias("day"), F.lit(-1).cast("bigint").alias("pairs"))
@@ -131,7 +142,8 @@ def _day_delta(tx: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _merge_days(rows: DataFrame) -> DataFrame:
     return rows.groupBy("role", "user", "day").agg(
-        F.sum("n").alias("n"), F.sum("cents").alias("cents"), F.min("first_ts").alias("first_ts"), F.sum("pairs").alias("pairs")
+        F.sum("n").alias("n"), F.sum("exact").alias("exact"), F.sum("rest").alias("rest"),
+        F.min("first_ts").alias("first_ts"), F.sum("pairs").alias("pairs")
     )
 
 
@@ -148,8 +160,8 @@ def compact(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
 
     The previous base and the deltas after it stay, so this batch can still be replayed.
     """
-    # One day of slack, should the clock step back a little.
-    oldest_day = (_oldest_start(as_of) - timedelta(days=1)).date()
+    # One day of slack: a clock that steps back a little needs no recomputation. Folds are never undone.
+    oldest_day = max((_oldest_start(as_of) - timedelta(days=1)).date(), _folded_before(spark, config, batch_id) or FOLDED)
     for table in TABLES:
         if len(_paths(spark, config, table, batch_id)[1]) < config.compact_every:
             continue
@@ -159,6 +171,8 @@ def compact(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
             by_day = _merge_pairs(rows).withColumn("last_day", F.to_date("last_ts")).hint("rebalance", "last_day")
             by_day.write.mode("overwrite").partitionBy("last_day").parquet(target)
         elif table == "days":
+            snapshots.publish(spark.createDataFrame([(oldest_day,)], "day date"), _folds(config), batch_id, files=1)
+            snapshots.expire(spark, _folds(config), keep=3)
             folded = F.when(F.col("day") < F.lit(oldest_day), F.lit(FOLDED)).otherwise(F.col("day"))
             _merge_days(rows.withColumn("day", folded)).write.mode("overwrite").parquet(target)
         else:
@@ -187,10 +201,16 @@ def _next_midnight(moment: datetime) -> datetime:
 
 
 def metrics(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> DataFrame:
-    """The 45-column metric table from state; equals a recomputation from the ledger."""
+    """The 45-column metric table from state; equals a recomputation from the ledger.
+
+    When the clock stepped back before days that are folded already, the ledger is read instead.
+    """
     now = F.lit(utc(as_of))
     starts = _starts(as_of)
     first_days = {s.date() for s in starts.values()}
+    folded = _folded_before(spark, config, batch_id)
+    if folded is not None and min(first_days) < folded:
+        return user_metrics(ledger.scan(spark, config.ledger, up_to_batch=batch_id), as_of)
 
     def in_windows(inside: Callable[[str], Column], **values: Column) -> list[Column]:
         return [F.when(inside(w), value).alias(f"{name}_{w}") for w in TRAILING_WINDOWS for name, value in values.items()]
@@ -209,13 +229,16 @@ def metrics(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
     days = _rows(spark, config, "days", batch_id)
     whole_days = days.select(
         "role", "user", "first_ts",
-        F.col("n").alias("n_life"), F.col("cents").alias("cents_life"), F.col("pairs").alias("known_life"),
-        *in_windows(lambda w: F.col("day") > F.lit(starts[w].date()), n=F.col("n"), cents=F.col("cents"), known=F.col("pairs")),
+        F.col("n").alias("n_life"), F.col("exact").alias("exact_life"), F.col("rest").alias("rest_life"), F.col("pairs").alias("known_life"),
+        *in_windows(
+            lambda w: F.col("day") > F.lit(starts[w].date()),
+            n=F.col("n"), exact=F.col("exact"), rest=F.col("rest"), known=F.col("pairs"),
+        ),
     )
 
     first_rows = ledger.scan_days(spark, config.ledger, first_days).filter(F.col("batch_id") <= batch_id)
     part_days = both_parties(first_rows.filter(on_any_first_day("ts")), "amount", "ts").select(
-        "role", "user", *in_windows(on_first_day("ts"), n=one, cents=cents("amount"))
+        "role", "user", *in_windows(on_first_day("ts"), n=one, exact=exact_part("amount"), rest=rest_part("amount"))
     )
 
     bases, deltas = _paths(spark, config, "pairs", batch_id)

@@ -4,7 +4,7 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from tallywatch.functions.scalars import cents, ratio_or_zero, round2
+from tallywatch.functions.scalars import exact_part, ratio_or_zero, rest_part, round2
 from tallywatch.operators import clean
 from tallywatch.operators.dedup import dedup_tx
 from tallywatch.plans import activity, metrics, rules, views
@@ -35,7 +35,7 @@ def test_invalid_rows_are_dropped(spark):
     ]
     decoded = messages.decode(spark.createDataFrame(lines, "value string"))
     assert decoded.count() == len(lines)
-    assert [r.tx_id for r in clean.clean(decoded).collect()] == ["ok"]
+    assert sorted(r.tx_id for r in clean.clean(decoded).collect()) == ["huge", "nan", "ok"]
     bad_field = decoded.filter("tx_id = 'quoted'").first()
     assert bad_field.amount is None and bad_field.tx_id == "quoted"
 
@@ -128,10 +128,25 @@ def test_ratio_and_rounding(spark):
         ratio_or_zero(F.lit(None).cast("double"), F.lit(2.0)).alias("null"),
         round2(F.lit(0.125)).alias("tie"),
         round2(F.lit(2.675)).alias("scaled"),
-        cents(F.lit(0.29)).alias("cents"),
-        cents(F.lit(float("nan"))).alias("nan"),
+        exact_part(F.lit(0.29)).cast("string").alias("exact"),
+        exact_part(F.lit(float("nan"))).alias("nan"),
+        rest_part(F.lit(0.29)).alias("no_rest"),
+        rest_part(F.lit(2e20)).alias("all_rest"),
     ).first()
-    assert row.asDict() == {"zero": 0.0, "null": 0.0, "tie": 0.12, "scaled": 2.68, "cents": 29, "nan": None}
+    assert row.asDict() == {"zero": 0.0, "null": 0.0, "tie": 0.12, "scaled": 2.68, "exact": "0.290000000", "nan": None, "no_rest": 0.0, "all_rest": 2e20}
+
+
+def test_money_is_neither_cut_nor_flattened(make_tx):
+    when = "2024-03-31T11:00:00"
+    tx = make_tx(
+        *[("small", "r", 0.004, when, f"s{i}") for i in range(10)], *[("big", "r2", 9.9e12, when, f"b{i}") for i in range(1000)],
+        ("huge", "r3", 1e300, when), ("huge", "r3", 1.0, when), ("inf", "r4", float("inf"), when), ("tiny", "r5", 1e-12, when),
+    )
+    rows = both_forms(tx)
+    totals = {u: rows[u].total_sent for u in ("small", "big", "huge", "inf", "tiny")}
+    assert totals == {"small": 0.04, "big": 9.9e15, "huge": 1e300, "inf": float("inf"), "tiny": 1e-12}
+    nan = by_user(metrics.user_metrics(make_tx(("n", "r", float("nan"), when), ("n", "r", 1.0, when)), NOW))["n"]
+    assert nan.count_sent_life == 2 and str(nan.total_sent) == "nan"
 
 
 def test_zero_amount_user_does_not_fire(make_tx):

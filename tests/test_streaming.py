@@ -1,5 +1,7 @@
 """The monitor: batches add up, replays and restarts change nothing, state equals recomputation."""
 
+from datetime import timedelta
+
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
@@ -85,6 +87,27 @@ def test_dedup_across_batches_and_replay(spark, make_tx):
     assert (a.count_sent_life, a.total_sent, a.distinct_sent_life, a.count_sent_7d) == (3, 7.0, 2, 2)
 
 
+def test_dedup_across_days(spark, make_tx):
+    config = config_for(spark, dedup=True, clock=lambda: at("2024-01-03T00:00:00"))
+    for batch_id, when in enumerate(("2024-01-01T23:59:59", "2024-01-02T00:00:01")):
+        lines = fixtures.message_lines(make_tx(("a", "b", 1.0, when, "1"), ("a", "b", 1.0, when, f"own-{batch_id}")), False)
+        monitor.process_batch(spark, config, lines, batch_id)
+    assert sorted(r.tx_id for r in ledger.scan(spark, config.ledger).collect()) == ["1", "own-0", "own-1"]
+
+
+def test_clock_that_steps_back_behind_folded_days(spark, make_tx):
+    config = config_for(spark, compact_every=1)
+    moments = ["2024-06-01T10:00:00", "2024-06-20T10:00:00", "2024-06-16T10:00:00", "2024-07-20T10:00:00"]
+    for batch_id, moment in enumerate(moments):
+        now = at(moment)
+        days = [now - timedelta(days=d, hours=d) for d in (0, 5, 30, 89, 91, 93, 94, 120)]
+        tx = make_tx(*[(f"u{d.day % 3}", "v", 1.5, d.isoformat()[:19], f"{batch_id}-{d}") for d in days])
+        settings = MonitorConfig(**{**config.__dict__, "clock": lambda now=now: now})
+        monitor.process_batch(spark, settings, fixtures.message_lines(tx, False), batch_id)
+        got = rows(snapshots.read_latest(spark, config.user_metrics))
+        assert got == rows(metrics.user_metrics(ledger.scan(spark, config.ledger), now)), moment
+
+
 def test_empty_batch_is_skipped(spark):
     config = config_for(spark)
     monitor.process_batch(spark, config, spark.createDataFrame([], "value string"), 0)
