@@ -38,7 +38,7 @@ def write_first_deliveries(
 
     The written table is the memory: a batch reads the id column of earlier batches, and keeps no state.
     """
-    schema = StructType.fromJson(tx.schema.jsonValue()).add("batch_id", "bigint")
+    schema = StructType.fromJson(tx.schema.jsonValue()).add("batch_id", "long")
 
     def first(batch: DataFrame, batch_id: int) -> DataFrame:
         once = dedup_tx(batch)
