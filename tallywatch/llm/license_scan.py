@@ -62,6 +62,7 @@ class Automaton:
     longest: list[int] = field(default_factory=lambda: [0])
     ends: list[set] = field(default_factory=lambda: [set()])
     phrases: list[tuple] = field(default_factory=list)
+    runs: list[list] = field(default_factory=list)
 
     @classmethod
     def build(cls, templates: Iterable[tuple[str, str]], phrases: Iterable[tuple[str, str]]) -> Automaton:
@@ -75,6 +76,7 @@ class Automaton:
                 last = made._extended(last, words[word])
                 made.ends[last].add((k, at))
         made._spread_ends()
+        made._mark_runs([[words[w] for w in text] for _, text in texts])
         made._mark_phrases([(words_of(p), label) for p, label in phrases])
         return made
 
@@ -114,6 +116,30 @@ class Automaton:
                 self.ends[self.link[s]] |= self.ends[s]
         self.ends = [sorted(x) for x in self.ends]
 
+    def _mark_runs(self, texts: list[list[int]]) -> None:
+        """``runs`` of a state: (template, length, ends, words after them) of each template's longest run that ends there.
+
+        A template that has the state's own run is listed with length 0: that of the run in the text. The others come from the
+        suffixes behind the state's links. Runs too short to count are left out.
+        """
+        self.runs = []
+        for s in range(len(self.next)):
+            listed: list[tuple] = []
+            known: set[int] = set()
+            at = s
+            while at > 0:
+                places: dict[int, list[int]] = {}
+                for k, place in self.ends[at]:
+                    if k not in known:
+                        places.setdefault(k, []).append(place)
+                for k, where in places.items():
+                    if self.longest[at] >= min(LEAST_MATCH, self.lengths[k]):
+                        after = frozenset(texts[k][p + 1] for p in where if p + 1 < len(texts[k]))
+                        listed.append((k, 0 if at == s else self.longest[at], tuple(where), after))
+                known |= places.keys()
+                at = self.link[at]
+            self.runs.append(listed)
+
     def _mark_phrases(self, phrases: list[tuple[list[bytes], str]]) -> None:
         own: dict[int, list] = {}
         for words, label in phrases:
@@ -143,18 +169,22 @@ class Automaton:
                 yield at, state, length
 
 
-def _matches(automaton: Automaton, text: list[bytes], found: dict[str, list]) -> Iterator[tuple[int, int, int]]:
-    """Matches that can't be made longer on the right, as (end, state, length); base phrases go to ``found``."""
-    held = None
+def _matches(automaton: Automaton, text: list[bytes], found: dict[str, list]) -> Iterator[tuple[int, int, int, tuple[int, ...]]]:
+    """Each template's longest matches that it can't make longer on the right, as (end, template, length, ends in the template).
+
+    A run goes on in one template and stops in another; each template's matches are those it would have alone. Base phrases
+    go to ``found``.
+    """
     for at, state, length in automaton.statistics(text):
         for size, label in automaton.phrases[state]:
             if length >= size:
                 found.setdefault(label, []).append(at - size + 1)
-        if held and not (at == held[0] + 1 and length == held[2] + 1):
-            yield held
-        held = at, state, length
-    if held:
-        yield held
+        if runs := automaton.runs[state]:
+            after = automaton.words.get(text[at + 1]) if at + 1 < len(text) else None
+            for k, size, places, goes_on in runs:
+                size = size or length
+                if after not in goes_on and size >= min(LEAST_MATCH, automaton.lengths[k]):
+                    yield at, k, size, places
 
 
 def scan(automaton: Automaton, text: list[bytes]) -> tuple[dict[str, list[int]], list[tuple[int, int, int, float]]]:
@@ -168,23 +198,21 @@ def scan(automaton: Automaton, text: list[bytes]) -> tuple[dict[str, list[int]],
         if covered >= LEAST_COVERAGE * automaton.lengths[k]:
             spans.append((k, first, last, covered / automaton.lengths[k]))
 
-    for end, state, length in _matches(automaton, text, found):
-        seen = set()
-        for k, place in automaton.ends[state]:
-            if length < min(LEAST_MATCH, automaton.lengths[k]):
-                continue
+    for end, k, length, places in _matches(automaton, text, found):
+        seen = False
+        for place in places:
             chain = chains.get(k)
             if chain:
                 start, new = end - length + 1, place - chain[2]
                 if place > chain[2] and start - chain[1] <= MOST_GAP and place - length - chain[2] <= MOST_GAP:
                     chains[k] = [chain[0], end, place, chain[3] + min(length, new)]
-                    seen.add(k)
+                    seen = True
                     continue
-                if k in seen:
+                if seen:
                     continue
                 close(k)
             chains[k] = [end - length + 1, end, place, length]
-            seen.add(k)
+            seen = True
     for k in list(chains):
         close(k)
     return found, sorted(spans, key=lambda s: (s[1], s[2], s[0]))

@@ -98,6 +98,32 @@ def test_changed_template_is_still_covered(docs, odd):
     assert ls.scan_documents(odd).count() == odd.count() and ls.scan_documents(odd.limit(0)).count() == 0
 
 
+def test_shared_run_counts_for_every_template(docs):
+    text = "This work is licensed under the Creative Commons Attribution 4.0 International License"
+    row = ls.scan_documents(docs((1, text))).first()
+    assert row.labels == "cc-by" and row.score == pytest.approx(12 / 13)
+
+
+def test_each_template_matches_as_if_alone():
+    every = [*ls.TEMPLATES, *((label, text) for text, label in ls.BASE_PHRASES)]
+    automaton = ls.Automaton.build(ls.TEMPLATES, ls.BASE_PHRASES)
+    alone = [ls.Automaton.build([t], []) for t in every]
+    words = [ls.words_of(t) for _, t in every]
+    grams = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in words]
+    pairs = [(a, b) for a in range(len(every)) for b in range(len(every)) if a != b and grams[a] & grams[b]]
+    assert pairs
+    texts = []
+    for a, b in pairs:
+        for at in range(len(words[a])):
+            # One word of a template changed: to a foreign one, or to each that goes on in the other template.
+            others = {words[b][p + 1] for p in range(len(words[b]) - 1) if at and words[b][p] == words[a][at - 1]}
+            texts += [[*words[a][:at], w, *words[a][at + 1:]] for w in {b"other", *others}]
+        texts.append([*words[a], *words[b]])
+    for text in texts:
+        want = sorted(((k, *span[1:]) for k, one in enumerate(alone) for span in ls.scan(one, text)[1]), key=lambda s: (s[1], s[2], s[0]))
+        assert ls.scan(automaton, text)[1] == want
+
+
 def test_repeated_passage_goes_and_clean_text_stays(docs):
     rng = random.Random(4)
     prose = lambda n: " ".join(" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(9)).capitalize() + "." for _ in range(n))
