@@ -14,30 +14,56 @@ from tallywatch.llm import common
 
 #: A span is the shortest run from a sentence on that has so many sentences and words.
 LEAST_SENTENCES, LEAST_WORDS = 2, 16
-#: A longer sentence counts as several of this many words.
-MOST_WORDS = 16
+#: A longer sentence is cut at words that its own content chooses: at least one of any ``CUT_WITHIN`` words in a row.
+MOST_WORDS, CUT_WITHIN = 16, 8
 
 #: Stands for a null doc_id: before all others.
 NO_ID = -(2**63)
 
-_SENTENCE = re.compile(r"[^.!?\n]+[.!?]*\s*|[.!?\n]+\s*")
-_LONG = re.compile(r"(?:\S+\s*){%d}" % MOST_WORDS)
+# Sentence ends of scripts that do not use the ASCII ones (Arabic, Devanagari, Ethiopic, Burmese, Khmer, CJK, full width).
+_ENDS = ".!?\n\u061f\u06d4\u0964\u0965\u1362\u104a\u104b\u17d4\u17d5\u2026\u203c\u2047-\u2049\u3002\uff01\uff0e\uff1f\uff61"
+# Scripts written without spaces (Thai, Lao, Burmese, Khmer; Chinese and Japanese with their punctuation). Two characters count as a word.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3001-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff01-\uffef\U00020000-\U0003ffff"
+
+_SENTENCE = re.compile(rf"[^{_ENDS}]+[{_ENDS.replace(chr(10), '')}]*\s*|[{_ENDS}]+\s*")
+_UNIT = re.compile(rf"[{_UNSPACED}]\s*|[^\s{_UNSPACED}]+\s*|\s+")
+_DENSE = re.compile(rf"[{_UNSPACED}]")
+
+
+def _words(piece: str) -> int:
+    """Words between spaces; of scripts without spaces, two characters count as one."""
+    if piece.isascii() or not (dense := len(_DENSE.findall(piece))):
+        return len(piece.split())
+    return len(_DENSE.sub(" ", piece).split()) + (dense + 1) // 2
+
+
+def _cut(piece: str) -> list[str]:
+    """The pieces of a long sentence. It is cut behind each word with the least hash of some ``CUT_WITHIN`` words in a row.
+
+    Whether a word is one depends on the words up to ``CUT_WITHIN`` - 1 before and after it and not on its place, so the same
+    passage has the same cuts inside, wherever it stands.
+    """
+    units = _UNIT.findall(piece)
+    if len(units) <= CUT_WITHIN:
+        return [piece]
+    hashes = common.word_hashes([u.strip().encode("utf-8", "surrogatepass") for u in units])
+    seen = np.lib.stride_tricks.sliding_window_view(hashes[::-1], CUT_WITHIN)
+    last = np.unique(len(units) - 1 - (seen.argmin(axis=1) + np.arange(len(seen))))  # the last one of equal words
+    ends = [*(last[last < len(units) - 1] + 1).tolist(), len(units)]
+    return ["".join(units[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def sentences(text: str) -> list[tuple[str, int]]:
     """(sentence, words) in order; joined, they are the text. Pieces without a word stay with the sentence before them."""
     out: list[list] = []
     for piece in _SENTENCE.findall(text):
-        words = len(piece.split())
+        words = _words(piece)
         if not re.search(r"\w", piece) and out:
             out[-1][0] += piece
-            continue
-        at = 0
-        while words > MOST_WORDS and (m := _LONG.match(piece, at)):
-            out.append([m[0], MOST_WORDS])
-            at, words = m.end(), words - MOST_WORDS
-        if at < len(piece):
-            out.append([piece[at:], words])
+        elif words > MOST_WORDS:
+            out += [[p, _words(p)] for p in _cut(piece)]
+        else:
+            out.append([piece, words])
     return [(s, n) for s, n in out]
 
 

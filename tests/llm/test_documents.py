@@ -124,6 +124,33 @@ def test_each_template_matches_as_if_alone():
         assert ls.scan(automaton, text)[1] == want
 
 
+def test_passage_in_unpunctuated_text_is_found_at_every_offset():
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    for _ in range(5):
+        passage = prose(51)
+        first = sd.sentences(f"{prose(3)} {passage} {prose(20)}")
+        hashes, ends = sd.spans(first)
+        known = set(hashes[ends > np.arange(len(ends))].tolist())
+        for offset in range(40):
+            before, after = prose(offset), prose(offset % 7)
+            text = f"{before} {passage} {after}".strip()
+            parts = sd.sentences(text)
+            gone = sd.covered(parts, known)
+            assert "".join(s for s, _ in parts) == text and gone.any()
+            assert set(" ".join(s for (s, _), g in zip(parts, gone, strict=True) if g).split()) <= set(passage.split())
+
+
+def test_passage_without_spaces_or_ascii_ends_goes(docs):
+    rng = random.Random(7)
+    prose = lambda n: "".join("".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(12)) + "\u3002" for _ in range(n))
+    passage, run = prose(5), "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(90))
+    rows = [(1, prose(2) + passage + prose(2)), (2, (own := prose(3)) + passage), (3, prose(1) + run), (4, "\u4e00\u4e8c\u4e09" + run)]
+    got = {r.doc_id: r for r in sd.deduplicated(docs(*rows)).collect()}
+    assert got[1].n_removed == got[3].n_removed == 0
+    assert got[2].text == own and len(got[4].text) < 40
+
+
 def test_repeated_passage_goes_and_clean_text_stays(docs):
     rng = random.Random(4)
     prose = lambda n: " ".join(" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(9)).capitalize() + "." for _ in range(n))
