@@ -27,7 +27,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of lines go; a document of which nothing is left goes too. n_chars follows the text."""
     common.ship_package(spark)
     own = ["doc_id", "text", "n_chars"]
-    cleaned = line_dedup.deduplicated(_held(docs, own)).filter("n_removed = 0 OR length(text) > 0")
+    cleaned = line_dedup.deduplicated(_held(docs, own), by_row=True).filter("n_removed = 0 OR length(text) > 0")
     return _restored(cleaned, docs.columns, own)
 
 

@@ -57,6 +57,17 @@ def join_unique(left: DataFrame, right: DataFrame, keys: list[str], count: str,
     return at_hot.unionByName(at_cold)
 
 
+def ids_repeat(rows: DataFrame, column: str) -> bool:
+    return rows.groupBy(column).count().filter("count > 1").limit(1).count() > 0
+
+
+def copies_marked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``rows`` with ``again``: false for one row of each key, true for its other rows. Rows are numbered in a stored table."""
+    held = stored(rows.withColumn("_row", F.monotonically_increasing_id()), name)
+    firsts = held.groupBy(*keys).agg(F.min("_row").alias("_row")).select("_row", F.lit(False).alias("again"))
+    return held.join(firsts, "_row", "left").withColumn("again", F.coalesce("again", F.lit(True))).drop("_row")
+
+
 def arrow_rows(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
     """The rows of Arrow batches as Python values; nulls are None and integers stay whole."""
     for batch in batches:

@@ -69,31 +69,31 @@ def _signed(value: int) -> int:
 def _map(docs: DataFrame, emit, schema: pa.Schema, ddl: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()  # lines that this task has already emitted; forgotten when it grows
-        rows = (row for doc, text in common.arrow_rows(batches, ["doc", "text"]) for row in emit(doc, text, seen))
+        rows = (row for doc, own, text in common.arrow_rows(batches, ["doc", "hash", "text"]) for row in emit(doc, own, text, seen))
         yield from common.arrow_batches(rows, schema, 20_000)
 
     return docs.mapInArrow(run, ddl)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """line (hash), doc, at (first place in the document) and the half keys, for each distinct line of each document."""
-    def emit(doc: int, text: str, _seen: set) -> Iterator[tuple]:
+    """line (hash), doc and hash of the document, at (first place in it) and the half keys, for each distinct line of each document."""
+    def emit(doc: int, text_hash: int, text: str, _seen: set) -> Iterator[tuple]:
         own = set()
         for at, (_, alike) in enumerate(lines_of(text)):
             if alike and alike not in own:
                 own.add(alike)
                 keys = [_signed(k) for k in half_keys(alike)] if len(alike) >= NEAR_CHARS else None
-                yield _signed(line_hash(alike)), doc, at, keys
+                yield _signed(line_hash(alike)), doc, text_hash, at, keys
 
-    schema = pa.schema([("line", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("halves", pa.list_(pa.int64()))])
-    return _map(docs, emit, schema, "line long, doc long, at long, halves array<bigint>")
+    schema = pa.schema([("line", pa.int64()), ("doc", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("halves", pa.list_(pa.int64()))])
+    return _map(docs, emit, schema, "line long, doc long, hash long, at long, halves array<bigint>")
 
 
 def _known(docs: DataFrame, wanted: common.IdFilter, emit_line, schema: pa.Schema, ddl: str) -> DataFrame:
     """What ``emit_line`` gives for lines that may be wanted; about once per task for each, however often it occurs."""
     maybe = wanted.local_test()
 
-    def emit(doc: int, text: str, seen: set) -> Iterator[tuple]:
+    def emit(_doc: int, _hash: int, text: str, seen: set) -> Iterator[tuple]:
         for _, alike in lines_of(text):
             if len(alike) >= NEAR_CHARS:
                 line = _signed(line_hash(alike))
@@ -177,7 +177,7 @@ def near_lines(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     two = _emitted(docs, _Variants(heads, tails)).groupBy("variant").agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a < b").select("variant")
     met = common.IdFilter(common.stored(two, "line-met"), "variant")
     rows = common.stored(_emitted(docs, _Variants(heads, tails, met)).distinct(), "line-variants")
-    place = nodes.select("line", F.struct("doc", "at").alias("first"))
+    place = nodes.select("line", F.struct("doc", "hash", "at").alias("first"))
     placed = common.stored(rows.select("line").distinct().join(place, "line"), "line-places")
     ranked = rows.join(placed, "line")
     # A line that has lost a character, against the line that is what remains of it.
@@ -199,7 +199,7 @@ def near_lines(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return checked.filter(F.levenshtein("alike", "other_alike", EDITS) >= 0).select("line", "other")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, by_row: bool = False) -> DataFrame:
     """``docs`` with the text's later lines removed, n_chars of what is left, and n_lines, n_removed, n_near.
 
     A line goes if the same line stands in a smaller doc_id or before it in its document, or if any line within one edit
@@ -207,41 +207,58 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     result does not depend on an order of work. Lines under ``LEAST_CHARS`` characters always stay; under
     ``NEAR_CHARS`` only equal lines count.
 
-    Rows of one doc_id count as one document: lines that they share stay in each. A null doc_id comes first; a null text is
+    With ``by_row`` each row is a document, in the order of (doc_id, hash of the text, copy number): of rows that share a doc_id or
+    have none, the later ones lose what they share. Else rows of one doc_id count as one document: lines that they share
+    stay in each. A null doc_id comes first; a null text is
     empty and stays null; an empty table gives no rows; columns of ``docs`` named n_lines, n_removed or n_near are replaced.
     """
     new = ["n_lines", "n_removed", "n_near"]
     docs = docs.drop(*new)
     rows = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    texts = rows.select(F.col("_doc").alias("doc"), common.text_or_empty().alias("text"))
+    apart = by_row and common.ids_repeat(rows, "_doc")
+    rows = rows.withColumn("_hash", F.xxhash64(common.text_or_empty()) if apart else F.lit(0).cast("long"))
+    texts = rows.select(F.col("_doc").alias("doc"), F.col("_hash").alias("hash"), common.text_or_empty().alias("text"))
     lines = common.stored(_lines(texts), "lines")
-    nodes = lines.groupBy("line").agg(F.min(F.struct("doc", "at", "halves")).alias("first"), F.count("*").alias("n")).select("line", "first.*", "n")
+    nodes = lines.groupBy("line").agg(F.min(F.struct("doc", "hash", "at", "halves")).alias("first"), F.count("*").alias("n")).select("line", "first.*", "n")
     nodes = common.stored(nodes, "line-nodes")
     near = near_lines(texts, nodes).select("line").distinct().withColumn("near", F.lit(True))
-    judged = nodes.select("line", F.col("doc").alias("first_doc"), "n").join(near, "line", "left").filter("near OR n > 1")
+    judged = nodes.select("line", F.col("doc").alias("first_doc"), F.col("hash").alias("first_hash"), "n").join(near, "line", "left").filter("near OR n > 1")
     judged = common.stored(judged.withColumn("near", F.coalesce("near", F.lit(False))), "line-verdicts")
-    gone = common.join_unique(lines.select("line", "doc"), judged, ["line"], "n").filter("near OR doc > first_doc")
-    marked = common.stored(gone.groupBy("doc").agg(F.collect_list("line").alias("_gone"), F.collect_list(F.when(F.col("near"), F.col("line"))).alias("_near")).withColumnRenamed("doc", "_doc"), "line-marks")
-    marks = common.IdFilter(marked, "_doc")
-    rows = rows.withColumn("_maybe", marks.test("_doc"))
+    gone = common.join_unique(lines.select("line", "doc", "hash"), judged, ["line"], "n").filter("near OR doc > first_doc OR (doc = first_doc AND hash > first_hash)")
+    listed = F.collect_set if apart else F.collect_list  # copies of a row give its lines again
+    marked = gone.groupBy(F.col("doc").alias("_doc"), F.col("hash").alias("_hash")).agg(listed("line").alias("_gone"), listed(F.when(F.col("near"), F.col("line"))).alias("_near"))
+    marked = common.stored(marked, "line-marks").withColumn("n", F.lit(1).cast("long"))
+    key, code = ["_doc", "_hash"], F.xxhash64("_doc", "_hash")
+    if apart:
+        copies = rows.groupBy(*key).count().filter("count > 1")
+        marked = marked.drop("n").join(copies, key, "full").withColumn("n", F.coalesce("count", F.lit(1))).drop("count")
+        marked = common.stored(marked, "line-row-marks")
+    marks = common.IdFilter(marked.withColumn("code", code), "code")
+    rows = rows.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_own"), *key).withColumn("_code", code).withColumn("_maybe", marks.test("_code"))
     none = F.lit(None).cast("array<bigint>")
-    plain = rows.filter("NOT _maybe").withColumns({"_gone": none, "_near": none})
-    touched = rows.filter("_maybe").join(marked, "_doc", "left")
-    return _without(plain.unionByName(touched.select(*plain.columns)), docs.columns)
+    out = rows.filter("NOT _maybe").select("_own", none.alias("_gone"), none.alias("_near"), F.lit(False).alias("again"))
+    if apart:
+        touched = common.join_unique(rows.filter("_maybe"), marked, key, "n", "left")
+        out = out.unionByName(common.copies_marked(touched.filter("n > 1"), key, "line-copies").select(*out.columns))
+        touched = touched.filter("n IS NULL OR n = 1")
+    else:
+        touched = rows.filter("_maybe").join(marked, key, "left")
+    out = out.unionByName(touched.withColumn("again", F.lit(False)).select(*out.columns))
+    return _without(out.select("_own.*", "_gone", "_near", F.col("again").alias("_again")), docs.columns)
 
 
 def _without(rows: DataFrame, columns: list[str]) -> DataFrame:
     @F.pandas_udf("text string, n_lines long, n_removed long, n_near long")
-    def clean(text, gone, near):
+    def clean(text, gone, near, again):
         import pandas as pd
 
         out = []
-        for t, g, m in zip(text, gone, near, strict=True):
+        for t, g, m, a in zip(text, gone, near, again, strict=True):
             g, m = set(() if g is None else g), set(() if m is None else m)
             lines, kept, seen, n_near = lines_of(t), [], set(), 0
             for line, alike in lines:
                 h = _signed(line_hash(alike)) if alike else None
-                if alike and (h in g or h in seen):
+                if alike and (a or h in g or h in seen):
                     n_near += h in m
                     continue
                 seen.add(h)
@@ -249,7 +266,7 @@ def _without(rows: DataFrame, columns: list[str]) -> DataFrame:
             out.append((None if t is None else "\n".join(kept), len(lines), len(lines) - len(kept), n_near))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed", "n_near"])
 
-    cleaned = rows.withColumn("_clean", clean("text", "_gone", "_near"))
+    cleaned = rows.withColumn("_clean", clean("text", "_gone", "_near", "_again"))
     made = {"text": F.col("_clean.text"), "n_chars": F.char_length("_clean.text").cast("long")}
     same = [made.get(c, F.col(f"`{c}`")).alias(c) for c in columns]
     return cleaned.select(*same, "_clean.n_lines", "_clean.n_removed", "_clean.n_near")
@@ -257,4 +274,4 @@ def _without(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return deduplicated(docs).select("doc_id", "text", "n_lines", "n_removed", "n_near")
+    return deduplicated(docs, by_row=True).select("doc_id", "text", "n_lines", "n_removed", "n_near")

@@ -103,7 +103,7 @@ def covered(parts: list[tuple[str, int]], repeated: set[int]) -> np.ndarray:
     return out
 
 
-_SPANS = pa.schema([("span", pa.int64()), ("doc", pa.int64())])
+_SPANS = pa.schema([("span", pa.int64()), ("doc", pa.int64()), ("hash", pa.int64())])
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -113,48 +113,62 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def _spans_of(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text in common.arrow_rows([batch], ["doc", "text"]):
+            for *key, text in common.arrow_rows([batch], ["doc", "hash", "text"]):
                 found = _signed(_distinct(text))
                 if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), doc, dtype=np.int64))], schema=_SPANS)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), *(pa.array(np.full(len(found), k, dtype=np.int64)) for k in key)], schema=_SPANS)
 
-    return docs.mapInArrow(run, "span long, doc long")
+    return docs.mapInArrow(run, "span long, doc long, hash long")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, text without the repeated sentences, n_sentences, n_removed and removed (their positions, from 0).
 
-    The first place of a span is the one in the smallest doc_id, and in that document the first; all others are removed. Rows
-    of one doc_id count as one document: what they share stays in each. A null doc_id comes before all others. A null
+    Each row is a document, in the order of (doc_id, hash of the text, copy number); a null doc_id comes before all others. The
+    first place of a span is the one in the first document, and in it the first; all others are removed. A null
     text is empty; an empty table gives no rows; other columns are ignored.
 
     Hashes are counted with map-side combining, and the few spans with over a thousandth of all rows are looked up by
     broadcast, so no span is hot in a shuffle. Texts without a repeated span are not shuffled.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), common.text_or_empty().alias("text"))
-    found = common.stored(_spans_of(rows.select("doc", "text")), "sentence-spans")
-    repeated = found.groupBy("span").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
+    apart = common.ids_repeat(rows, "doc")
+    rows = rows.withColumn("hash", F.xxhash64("text") if apart else F.lit(0).cast("long"))
+    found = common.stored(_spans_of(rows.select("doc", "hash", "text")), "sentence-spans")
+    key, code = ["doc", "hash"], F.xxhash64("doc", "hash")
+    place = F.struct(*key) if apart else F.col("doc")
+    repeated = found.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
     repeated = common.stored(repeated.filter("first < last").drop("last"), "sentence-repeats")
-    later = common.join_unique(found, repeated, ["span"], "n").filter("doc > first")
-    marked = common.stored(later.groupBy("doc").agg(F.collect_list("span").alias("spans")), "sentence-marks")
-    marks = common.IdFilter(marked, "doc")
-    rows = rows.withColumn("maybe", marks.test("doc"))
-    plain = rows.filter("NOT maybe").withColumn("spans", F.lit(None).cast("array<bigint>"))
-    touched = rows.filter("maybe").join(marked, "doc", "left")
-    return _without(plain.select("doc_id", "text", "spans").unionByName(touched.select("doc_id", "text", "spans")))
+    later = common.join_unique(found, repeated, ["span"], "n").filter(place > F.col("first"))
+    listed = F.collect_set if apart else F.collect_list  # copies of a row give its spans again
+    marked = common.stored(later.groupBy(*key).agg(listed("span").alias("spans")), "sentence-marks")
+    if apart:
+        copies = rows.groupBy(*key).count().filter("count > 1")
+        marked = marked.join(copies, key, "full").withColumn("n", F.coalesce("count", F.lit(1))).drop("count")
+        marked = common.stored(marked, "sentence-row-marks")
+    marks = common.IdFilter(marked.withColumn("code", code), "code")
+    rows = rows.withColumn("code", code).withColumn("maybe", marks.test("code"))
+    out = rows.filter("NOT maybe").select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("spans"), F.lit(False).alias("again"))
+    if apart:
+        touched = common.join_unique(rows.filter("maybe"), marked, key, "n", "left")
+        out = out.unionByName(common.copies_marked(touched.filter("n > 1"), key, "sentence-copies").select(*out.columns))
+        touched = touched.filter("n IS NULL OR n = 1")
+    else:
+        touched = rows.filter("maybe").join(marked, key, "left")
+    return _without(out.unionByName(touched.withColumn("again", F.lit(False)).select(*out.columns)))
 
 
 def _without(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("removed", pa.list_(pa.int32()))])
 
-    def clean(doc_id: int | None, text: str, marked: list[int] | None) -> tuple:
+    def clean(doc_id: int | None, text: str, marked: list[int] | None, again: bool) -> tuple:
         parts = sentences(text)
-        gone = covered(parts, {h % 2**64 for h in marked or ()})
+        gone = covered(parts, set(_distinct(text).tolist()) if again else {h % 2**64 for h in marked or ()})
         kept = "".join(s for (s, _), g in zip(parts, gone, strict=True) if not g) if gone.any() else text
         return doc_id, kept, len(parts), int(gone.sum()), np.flatnonzero(gone).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from common.arrow_batches((clean(*x) for x in common.arrow_rows(batches, ["doc_id", "text", "spans"])), schema, 500)
+        yield from common.arrow_batches((clean(*x) for x in common.arrow_rows(batches, ["doc_id", "text", "spans", "again"])), schema, 500)
 
     return rows.mapInArrow(run, "doc_id long, text string, n_sentences long, n_removed long, removed array<int>")
 

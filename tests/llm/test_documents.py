@@ -182,6 +182,15 @@ def test_spans_equal_brute_force(docs):
     assert {r.doc_id: r.removed for r in sd.deduplicated(docs(*rows)).collect()} == want
 
 
+def test_each_row_is_a_document(docs):
+    passage = "One sentence of eight words stands in here. Another one of nine words stands right behind it. "
+    rows = [(k, f"{passage}Row {j} of key {k} ends here.") for k in (None, 3) for j in range(3)]
+    rows += [rows[0], rows[0], rows[4]]
+    got = sd.deduplicated(docs(*rows)).collect()
+    assert len(got) == len(rows) and sum(passage in r.text for r in got) == 1
+    assert all(sum(t.split(". ")[-1] in r.text for r in got if r.doc_id == k) >= 1 for k, t in rows)
+
+
 def test_sentence_odd_rows(odd):
     got = sd.deduplicated(odd)
     assert got.count() == odd.count() and sd.deduplicated(odd.limit(0)).count() == 0
