@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 from collections import Counter
+from datetime import datetime, timezone
 
 import duckdb
 
@@ -44,3 +45,8 @@ def differences(spark_df, con, sql: str) -> str | None:
     if actual == expected:
         return None
     return f"rows {actual.total()} vs {expected.total()}; only spark {list((actual - expected).items())[:2]}; only sql {list((expected - actual).items())[:2]}"
+
+
+def at(text: str) -> datetime:
+    """A moment in UTC."""
+    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)

@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import SparkSession
@@ -8,6 +7,7 @@ from pyspark.sql import types as T
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
+from compare import at  # noqa: E402
 from tallywatch.schema import LEDGER_SCHEMA, TX_COLUMNS  # noqa: E402
 from tallywatch.session import pin_session  # noqa: E402
 
@@ -51,7 +51,3 @@ def make_tx(spark):
         return spark.createDataFrame(full, TX_SCHEMA)
 
     return build
-
-
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)

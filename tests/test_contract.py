@@ -1,7 +1,7 @@
 """Semantics the metric table and the decoder promise, one small frame each."""
 
 import pytest
-from conftest import at
+from compare import at
 from pyspark.sql import functions as F
 
 from tallywatch.functions.scalars import exact_part, ratio_or_zero, rest_part, round2

@@ -3,7 +3,7 @@
 import random
 from functools import reduce
 
-from conftest import at
+from compare import at
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@
 from datetime import timedelta
 
 import pytest
-from conftest import at
+from compare import at
 from pyspark.sql import functions as F
 
 from tallywatch import fixtures
