@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import string
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywatch.llm import common
@@ -29,12 +32,20 @@ SEPARATOR = "\x00"
 _MARK = "\x00\x00"
 
 
+_TERM = re.compile(TERM)
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
 def worded(docs: DataFrame) -> DataFrame:
     """lang, source ('' for null) and the terms of each document, each with its language before it."""
-    lowered = F.translate(common.text_or_empty(), string.ascii_uppercase, string.ascii_lowercase)
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
-    rows = docs.select(lang, source, F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0)).alias("terms"))
-    return rows.withColumn("terms", F.transform("terms", lambda t: F.concat(F.col("lang"), F.lit(SEPARATOR), t)))
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("terms", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = common.arrow_rows(batches, ["lang", "source", "text"])
+        yield from common.arrow_batches(((lang, source, [f"{lang}{SEPARATOR}{t}" for t in _TERM.findall(text.translate(_LOWER))]) for lang, source, text in rows), schema, 500)
+
+    return docs.select(lang, source, common.text_or_empty().alias("text")).mapInArrow(run, "lang string, source string, terms array<string>")
 
 
 def _sums_by_model(docs: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
@@ -71,9 +82,9 @@ def _apart(p: str, q: str) -> str:
     return f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})"
 
 
-def _against(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+def _against(rows: DataFrame, groups: DataFrame, langs: DataFrame, keys: list[str]) -> DataFrame:
     """Each row with the rows of ``groups`` that have its keys, a block of sources at a time, so that a key is many tasks' work."""
-    blocks = groups.groupBy("lang").agg(F.count_distinct("other").alias("n")).select("lang", F.expr(f"cast(ceil(n / {SOURCES_PER_BLOCK}) AS int)").alias("blocks"))
+    blocks = langs.select("lang", "blocks")
     left = rows.join(blocks, "lang").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     right = groups.join(blocks, "lang").withColumn("block", F.expr("cast(pmod(xxhash64(other), blocks) AS int)"))
     return left.drop("blocks").join(right.drop("blocks"), [*keys, "block"]).drop("block")
@@ -93,7 +104,7 @@ def audited(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_
     A null lang, source or text is ''; a group without terms has its pairs, of value 0 if its language keeps none; repeated
     rows and ids are documents of their own; an empty table gives no rows; other columns are ignored.
     """
-    docs = worded(docs)
+    docs = common.stored(worded(docs), "divergence-words")
     distinct_terms = docs.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
     vocabulary, sums = (_sums_by_model if distinct_terms <= model_terms else _sums_by_rows)(docs, least_docs)
     sums = common.stored(sums, "divergence-sums")
@@ -103,20 +114,22 @@ def audited(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_
     groups = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
     groups = groups.fillna(0, ["total", "terms"])
     groups = common.stored(_with_share(groups, "0", "p0"), "divergence-groups")
+    langs = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("terms").alias("terms"), F.expr(f"cast(ceil(count(*) / {SOURCES_PER_BLOCK}) AS int)").alias("blocks"))
+    langs = common.stored(langs, "divergence-langs")  # a row per language: Spark knows its size and need not shuffle what meets it
     shares = common.stored(_with_share(sums.join(groups, ["lang", "source"]), "n", "p").select("lang", "source", "term", "p", "p0"), "divergence-shares")
 
-    of_lang = sums.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("terms").alias("terms")), "lang")
+    of_lang = sums.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(langs, "lang")
     above = shares.join(_with_share(of_lang, "n", "q").select("term", "q"), "term").filter("p > q").withColumn("value", F.expr(_apart("p", "q")))
     above = above.join(vocabulary.select("term", "item"), "term").select("lang", "source", F.lit("term").alias("part"), "item", "value")
     first = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     above = above.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= top_terms)
 
     others = groups.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0"))
-    neither = _against(groups, others, ["lang"]).filter("source <> other").select("lang", "source", "other", F.expr(f"coalesce(terms * ({_apart('p0', 'q0')}), 0L)").alias("value"))
+    neither = _against(groups, others, langs, ["lang"]).filter("source <> other").select("lang", "source", "other", F.expr(f"coalesce(terms * ({_apart('p0', 'q0')}), 0L)").alias("value"))
     alike = shares.groupBy("lang", "source", "p", "p0").agg(F.count("*").alias("times"))
-    one = _against(alike, others, ["lang"]).filter("source <> other").select("lang", "source", "other", F.expr(f"times * ({_apart('p', 'q0')} - {_apart('p0', 'q0')})").alias("value"))
+    one = _against(alike, others, langs, ["lang"]).filter("source <> other").select("lang", "source", "other", F.expr(f"times * ({_apart('p', 'q0')} - {_apart('p0', 'q0')})").alias("value"))
     there = shares.select("lang", F.col("source").alias("other"), "term", F.col("p").alias("q"), F.col("p0").alias("q0"))
-    both = _against(shares, there, ["lang", "term"]).filter("source < other").select(
+    both = _against(shares, there, langs, ["lang", "term"]).filter("source < other").select(
         "lang", "source", "other", F.expr(f"{_apart('p', 'q')} - {_apart('p', 'q0')} - {_apart('p0', 'q')} + {_apart('p0', 'q0')}").alias("value")
     ).groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
     half = one.unionByName(both)
