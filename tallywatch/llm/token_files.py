@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,10 @@ END_ID, ID_BITS = 1, 16
 #: Ids that a task codes side by side; what is held in memory is bounded by it.
 IDS_HELD = 8_000_000
 #: Distinct words that a task remembers, as they stand and as the tokenizer gets them.
-WORDS_HELD, BARE_HELD = 200_000, 400_000
+WORDS_HELD, BARE_HELD = 200_000, 1_000_000
 
-_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)\Z")
+# Letters of Latin-1 and marks after them; no apostrophe, which the tokenizer joins to some letters.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
 BLOCK_COLUMNS = """
     part int, block long, first long, n_ids long, documents array<struct<doc_id: bigint, place: bigint, piece: bigint, n_ids: bigint, last: boolean>>, payload binary
@@ -34,7 +36,7 @@ class _Words(dict):
     """Ids of whatever stands between spaces, as bytes, each asked of the tokenizer once while it is remembered.
 
     The tokenizer cuts at white space, so a text's ids are those of its parts between spaces. It also cuts between letters and
-    the marks ``.,;:!?`` that follow them, and lowers letters, so that "Word," needs only "word" and ",". Anything else is
+    the marks that follow them, and lowers letters, so that "Word," needs only "word" and ",". Anything else is
     given to it as it stands. For other tokenizers than ``word_bpe_49k`` pass ``by_word=False``.
     """
 
@@ -185,16 +187,22 @@ def _times(a: int, b: int) -> int:
     return out
 
 
-def crc32_joined(pieces: Iterator[tuple[int, int]]) -> int:
+@lru_cache(maxsize=10_000)
+def _shift(length: int) -> int:
+    """x to the 8 * length, which moves a checksum over so many bytes."""
+    out, power = 0x80000000, 0x00800000  # 1, and x to the 8
+    while length:
+        if length & 1:
+            out = _times(out, power)
+        power, length = _times(power, power), length >> 1
+    return out
+
+
+def crc32_joined(pieces: Iterable[tuple[int, int]]) -> int:
     """The crc32 of bytes that come in pieces, from each piece's crc32 and length."""
     out = 0
     for crc, length in pieces:
-        shift, power = 0x80000000, 0x00800000  # 1, and x to the 8: one byte
-        while length:
-            if length & 1:
-                shift = _times(shift, power)
-            power, length = _times(power, power), length >> 1
-        out = _times(out, shift) ^ crc
+        out = _times(out, _shift(length)) ^ crc
     return out
 
 
