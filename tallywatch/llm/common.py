@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywatch.session import scratch_path
@@ -68,6 +68,26 @@ def copies_marked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return held.join(firsts, "_row", "left").withColumn("again", F.coalesce("again", F.lit(True))).drop("_row")
 
 
+def numbered(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``number``: 0 for a row alone with its key, else gapless from 0 among the rows of the key.
+
+    Only rows of repeated keys are dealt, by ranges of (key, row), so that a key with any share of the rows is many tasks'
+    work; a row's number is its place in its range after the sizes of the key's earlier ranges. The key must not be null.
+    """
+    repeats = stored(rows.groupBy(key).agg(F.count("*").alias("n_same")).filter("n_same > 1"), "repeated-keys")
+    joined = join_unique(rows, repeats, [key], "n_same", "left")
+    alone = joined.filter("n_same IS NULL").drop("n_same").withColumn("number", F.lit(0).cast("long"))
+    dealt = joined.filter("n_same IS NOT NULL").drop("n_same").withColumn("row", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(key, "row").sortWithinPartitions(key, "row").withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
+    dealt = stored(dealt.drop("row"), "repeated-rows")
+    earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy(key, "part").agg(F.min("place").alias("first"), F.count("*").alias("n_rows"))
+    ranges = ranges.select(key, "part", "first", F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)).alias("before"))
+    ranges = stored(ranges, "repeated-ranges")
+    several = join_salted(dealt, ranges, [key, "part"], ["place"]).withColumn("number", F.col("place") - F.col("first") + F.col("before"))
+    return alone.unionByName(several.select(*alone.columns))
+
+
 def arrow_rows(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
     """The rows of Arrow batches as Python values; nulls are None and integers stay whole."""
     for batch in batches:

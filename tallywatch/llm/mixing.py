@@ -24,10 +24,6 @@ def _digits(text: Column, n: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, n), 16, 10).cast("long")
 
 
-def _seeded(seed: int, *parts: Column) -> Column:
-    return F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(p.cast("string"), F.lit("")) for p in parts))
-
-
 def poisson_inverse(u: np.ndarray, rate: np.ndarray) -> np.ndarray:
     """Smallest k whose Poisson(rate) distribution function reaches u, elementwise, for u in (0, 1)."""
     out = np.zeros(len(u), dtype=np.int64)
@@ -76,19 +72,24 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, power
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, power: float = POWER, epochs: float = EPOCHS, seed: int = SEED) -> DataFrame:
     """``docs`` with source_key, rate, n_copies, copy and shuffle_key, one row per copy, in a global random order.
 
-    A document's count inverts the Poisson distribution with its source's rate at a number hashed from seed and doc_id, so a
-    run gives the same copies on any cluster. Sources with over a thousandth of the rows are looked up by broadcast (there
-    are at most a thousand), so a hot source is never gathered. Rows with the same doc_id (or a null one) get the same
-    number; a null text has size 1; an empty table gives none. Columns of ``docs`` named like the new ones are replaced.
+    A document's count inverts the Poisson distribution with its source's rate at a number hashed from seed, doc_id, text, source
+    and the row's number among rows that are equal in these, so every row is a draw of its own, whatever its id, and a run
+    gives the same copies on any cluster. Sources with over a thousandth of the rows are looked up by broadcast (there are at
+    most a thousand), so a hot source is never gathered. A null text has size 1; an empty table gives none. Columns of
+    ``docs`` named like the new ones are replaced; others may have any name.
     """
     new = ["source_key", "rate", "n_copies", "copy", "shuffle_key"]
-    docs = docs.drop(*new).withColumn("source_key", F.coalesce("source", F.lit("")))
-    rates = source_rates(docs, weights, power, epochs).select("source_key", F.col("rows").alias("_rows"), "rate")
-    u = (_digits(_seeded(seed, F.col("doc_id")), _HEX).cast("double") + 0.5) / float(16**_HEX)
-    counted = common.join_unique(docs, rates, ["source_key"], "_rows").drop("_rows").withColumn("n_copies", _copies(u, F.col("rate")))
+    kept = docs.drop(*new)
+    rates = source_rates(docs, weights, power, epochs).select("source_key", F.col("rows").alias("n_rows"), "rate")
+    said = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(common.text_or_empty()), F.coalesce("source", F.lit("")))
+    held = kept.select(F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("own"), F.coalesce("source", F.lit("")).alias("source_key"), F.md5(said).alias("key"))
+    held = common.numbered(held, "key")
+    own = F.concat_ws(":", F.lit(str(seed)), "key", F.col("number").cast("string"))
+    u = (_digits(own, _HEX).cast("double") + 0.5) / float(16**_HEX)
+    counted = common.join_unique(held, rates, ["source_key"], "n_rows").drop("n_rows").withColumn("n_copies", _copies(u, F.col("rate")))
     copies = counted.filter("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
-    keyed = copies.withColumn("shuffle_key", _digits(_seeded(seed, F.col("doc_id"), F.col("copy")), _KEY_HEX))
-    return keyed.repartitionByRange(F.col("shuffle_key")).sortWithinPartitions("shuffle_key", "doc_id", "copy")
+    keyed = copies.withColumn("shuffle_key", _digits(F.concat_ws(":", own, F.col("copy").cast("string")), _KEY_HEX))
+    return keyed.repartitionByRange(F.col("shuffle_key")).sortWithinPartitions("shuffle_key", "key", "number", "copy").select("own.*", *new)
 
 
 def op3_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,16 +98,21 @@ def op3_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = f"""
-WITH docs AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(length(text), 0) + 1 AS size FROM documents),
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(length(text), 0) + 1 AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) || ':' || coalesce(source, '')) AS key
+  FROM documents
+),
+numbered AS (SELECT *, '{SEED}:' || key || ':' || (row_number() OVER (PARTITION BY key) - 1) AS own FROM docs),
 sizes AS (SELECT source, CAST(sum(size) AS DOUBLE) AS size, pow(CAST(sum(size) AS DOUBLE), {POWER}) AS weight FROM docs GROUP BY source),
 rates AS (SELECT source, weight * ((SELECT sum(size) FROM sizes) * {EPOCHS} / (SELECT sum(weight) FROM sizes)) / size AS rate FROM sizes),
 reached AS (
   SELECT source, rate, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
   FROM rates, range(0, 200) AS r(k)
 ),
-drawn AS (SELECT doc_id, source, (CAST('0x' || substr(md5('{SEED}:' || doc_id), 1, {_HEX}) AS BIGINT) + 0.5) / {16**_HEX}.0 AS u FROM docs),
-counted AS (SELECT doc_id, source, min(rate) AS rate, min(k) AS n_copies FROM drawn JOIN reached USING (source) WHERE p >= u GROUP BY doc_id, source)
+drawn AS (SELECT own, doc_id, source, (CAST('0x' || substr(md5(own), 1, {_HEX}) AS BIGINT) + 0.5) / {16**_HEX}.0 AS u FROM numbered),
+counted AS (SELECT own, doc_id, source, min(rate) AS rate, min(k) AS n_copies FROM drawn JOIN reached USING (source) WHERE p >= u GROUP BY own, doc_id, source)
 SELECT doc_id, source, round(rate, 6) AS rate, n_copies, c.copy AS copy,
-  CAST('0x' || substr(md5('{SEED}:' || doc_id || ':' || c.copy), 1, {_KEY_HEX}) AS BIGINT) AS shuffle_key
+  CAST('0x' || substr(md5(own || ':' || c.copy), 1, {_KEY_HEX}) AS BIGINT) AS shuffle_key
 FROM counted, LATERAL (SELECT unnest(range(1, n_copies + 1)) AS copy) AS c
 """

@@ -86,6 +86,20 @@ def test_mixture_has_the_target_weights(docs, odd):
     assert mixing.mixed(odd, epochs=3.0).filter("n_copies < 1").count() == 0 and mixing.mixed(odd.limit(0)).count() == 0
 
 
+def test_mixture_draws_rows_not_ids(spark, tmp_path):
+    """Null, repeated and unique ids, null texts and sources, equal rows, and columns named like the operator's own."""
+    rows = [(None if i % 3 == 0 else 5 if i % 7 == 1 else i, None if i % 50 == 1 else "same" if i % 6 == 0 else f"text {i}", f"s{i % 4}" if i % 11 else None) for i in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    con = compare.duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare.differences(mixing.op3_poisson_mixing(spark, str(tmp_path)), con, mixing.OP3_SQL) is None
+    names = ["_rows", "n_same", "key", "number", "own", "part", "place", "n_rows"]
+    out = mixing.mixed(table.selectExpr("*", *(f"'{n}' AS {n}" for n in names)))
+    assert {tuple(r) for r in out.select(*names).distinct().collect()} == {tuple(names)}
+    assert abs(out.filter("doc_id IS NULL").count() - 1000) < 150
+
+
 def slow_shards(groups, shards):
     """Smallest possible largest shard, for groups in order, with those above an equal share alone."""
     left, alone = sorted(groups.values(), reverse=True), 0
