@@ -10,7 +10,8 @@ from tallywatch.llm import common, jaccard_join, line_dedup, mixing, packing, qu
 
 def _held(docs: DataFrame, own: list[str]) -> DataFrame:
     """``docs`` with all columns but ``own`` put away in one, so that no name of theirs can clash with a stage's."""
-    return docs.select(*own, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in own), F.lit(0).alias("_none")).alias("_rest"))
+    spare = "_" * (1 + max(map(len, docs.columns)))  # no column has this name; a struct needs a field
+    return docs.select(*own, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in own), F.lit(0).alias(spare)).alias("_rest"))
 
 
 def _restored(held: DataFrame, columns: list[str], own: list[str]) -> DataFrame:
