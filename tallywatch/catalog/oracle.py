@@ -220,6 +220,8 @@ ORACLE: dict[str, str] = {
     "ledger_append_idempotent": _on("tx_burst", """
         SELECT cast(ts AS date) AS dt, cast(0 AS bigint) AS batch_id, count(*) AS tx_rows FROM tx_events GROUP BY 1
         UNION ALL SELECT cast(ts AS date), cast(1 AS bigint), count(*) FROM tx_burst GROUP BY 1"""),
+    "src_data_loss": _on("tx_events", f"""SELECT cast(ts AS date) AS dt, count(*) AS tx_rows FROM tx_events
+        WHERE ts < {_start('tx_events', 604_800)} GROUP BY 1"""),
     "snapshot_latest": _on("tx_burst", """SELECT "user", min(bank) AS bank FROM legs GROUP BY 1""", _legs("tx_burst")),
     "publish_user_metrics": ALL_METRICS,
     "recent_tx": _on("tx_burst", f"SELECT {', '.join(RECENT_COLUMNS)} FROM recent", RECENT),
@@ -267,6 +269,9 @@ ORACLE: dict[str, str] = {
     "recent_users": _on("tx_burst", "SELECT * FROM recent_users", RECENT, RECENT_USERS),
     "recent_user_metrics_semi": _shown(f'SELECT {METRICS} FROM metrics WHERE "user" IN (SELECT "user" FROM recent_users)'),
     "recent_users_view": _shown(f"SELECT {METRICS}, {FLAG_COLUMNS}, rank FROM view"),
+    "published_dashboard": _shown(f"SELECT {METRICS}, {FLAG_COLUMNS}, rank FROM view"),
+    "published_dashboard_fallback": _burst(f"""SELECT {METRICS}, {FLAG_COLUMNS}, row_number() OVER (ORDER BY count_sent_3h DESC, "user") AS rank
+        FROM flagged WHERE count_sent_3h IS NOT NULL ORDER BY rank LIMIT 20"""),
     "most_active_topk": _burst("""SELECT "user", bank, count_sent_3h FROM metrics WHERE count_sent_3h IS NOT NULL
         ORDER BY count_sent_3h DESC, "user" LIMIT 20"""),
     "top10_displayed": _shown("""SELECT "user", coalesce(count_sent_3h, 0) AS tx_sent_3h, anomaly FROM view

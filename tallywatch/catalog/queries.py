@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from tallywatch.operators import balance, clean, dedup, edges
 from tallywatch.plans import activity, metrics, rules, views
 from tallywatch.schema import PERIOD_HOURS, ROLES, TX_COLUMNS, MonitorConfig
 from tallywatch.session import scratch_path
-from tallywatch.sources import ledger, messages, snapshots
+from tallywatch.sources import ledger, messages, snapshots, storage
 from tallywatch.streaming import live, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +94,32 @@ def src_rate_limited(spark, sf_dir):
     )
 
 
+@query
+def src_data_loss(spark, sf_dir):
+    """A batch fails, and before it runs again the files with the newest week are gone: without ``fail_on_data_loss`` the rest is read."""
+    tx = fixtures.tx_events(spark, sf_dir)
+    root = scratch_path(spark, "loss")
+    recent = F.col("ts") >= scalars.before(F.lit(fixtures.newest(tx)), 604_800)
+    for name, part in (("old", tx.filter(~recent)), ("new", tx.filter(recent))):
+        _feed(fixtures.message_lines(part, bad_lines=False), f"{root}/in/{name}")
+
+    def run(work) -> None:
+        stream = messages.read_transaction_stream(spark, "json-lines", f"{root}/in/*", fail_on_data_loss=False)
+        stream.writeStream.foreachBatch(work).option("checkpointLocation", f"{root}/check").trigger(availableNow=True).start().awaitTermination()
+
+    def fail(rows: DataFrame, batch_id: int) -> None:
+        raise RuntimeError("planned failure before the first write")
+
+    try:
+        run(fail)
+    except StreamingQueryException as error:
+        if "planned failure" not in str(error):
+            raise
+    storage.delete_tree(spark, f"{root}/in/new")
+    run(lambda rows, batch_id: ledger.append(clean.clean(rows), f"{root}/ledger", batch_id))
+    return ledger.scan(spark, f"{root}/ledger").groupBy("dt").agg(F.count("*").alias("tx_rows"))
+
+
 @query
 def decode_json(spark, sf_dir):
     return messages.decode(fixtures.message_lines(fixtures.tx_burst(spark, sf_dir)))
@@ -109,15 +136,19 @@ def ledger_scan(spark, sf_dir):
     path = scratch_path(spark, "ledger")
     tx = fixtures.tx_burst(spark, sf_dir)
     ledger.append(tx.withColumn("dt", F.to_date("ts")), path, 0)
-    start = scalars.before(scalars.instant(None, ledger.scan(spark, path)), 604_800)
+    start = scalars.before(ledger.newest(spark, path), 604_800)
     return plain(ledger.scan(spark, path, since=start).drop("batch_id"))
 
 
 @query
 def ledger_append_idempotent(spark, sf_dir):
+    """Each batch written twice, and the batches before it compacted in between."""
     path = scratch_path(spark, "ledger")
-    for batch_id, tx in ((0, fixtures.tx_events), (1, fixtures.tx_burst), (0, fixtures.tx_events)):
-        ledger.append(tx(spark, sf_dir).withColumn("dt", F.to_date("ts")), path, batch_id)
+    for batch_id, tx in ((0, fixtures.tx_events), (1, fixtures.tx_burst)):
+        for _ in range(2):
+            ledger.append(tx(spark, sf_dir).withColumn("dt", F.to_date("ts")), path, batch_id)
+            ledger.compact(spark, path, batch_id, fan_in=1)
+    ledger.compact(spark, path, 2, fan_in=2)
     return ledger.scan(spark, path).groupBy("dt", "batch_id").agg(F.count("*").alias("tx_rows"))
 
 
@@ -390,29 +421,53 @@ def stream_incremental_metrics(spark, sf_dir):
 
 @query
 def stream_restart_no_dup(spark, sf_dir):
-    """Every batch handled twice, then a restart from the checkpoint with more input."""
+    """The monitor, with an error after each of a batch's writes and a restart each time, then more input."""
     tx = fixtures.tx_burst(spark, sf_dir)
     now = fixtures.newest(tx)
-    root = scratch_path(spark, "restart")
+    failures = ["ledger", "state", "user_metrics", "recent_tx", "batch_log"]
+
+    def fail_once(table: str) -> None:
+        if table in failures:
+            failures.remove(table)
+            raise RuntimeError(f"planned failure after {table}")
+
+    config = MonitorConfig(data_dir=scratch_path(spark, "restart"), clock=lambda: now, after_write=fail_once)
     recent = F.col("ts") >= scalars.before(F.lit(now), 604_800)
     for part in (tx.filter(~recent), tx.filter(recent)):
-        _feed(fixtures.message_lines(part, bad_lines=False), f"{root}/in")
-
-        def twice(rows: DataFrame, batch_id: int) -> None:
-            for _ in range(2):
-                ledger.append(clean.clean(rows), f"{root}/ledger", batch_id)
-
-        stream = messages.read_transaction_stream(spark, "json-lines", f"{root}/in")
-        run = (
-            stream.writeStream.foreachBatch(twice)
-            .option("checkpointLocation", f"{root}/check").trigger(availableNow=True).start()
-        )
-        run.awaitTermination()
-    return ledger.scan(spark, f"{root}/ledger").groupBy("dt").agg(
+        _feed(fixtures.message_lines(part, bad_lines=False), f"{config.data_dir}/in")
+        done = False
+        while not done:
+            run = monitor.start_monitor(spark, messages.read_line_stream(spark, f"{config.data_dir}/in"), config, available_now=True)
+            try:
+                run.awaitTermination()
+                done = True
+            except StreamingQueryException:
+                if "planned failure" not in str(run.exception()):
+                    raise
+    return ledger.scan(spark, config.ledger).groupBy("dt").agg(
         F.count("*").alias("tx_rows"), F.count_distinct("tx_id").alias("tx_ids")
     )
 
 
+def _published_view(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    tx = fixtures.tx_burst(spark, sf_dir)
+    config = _run_monitor(spark, fixtures.message_lines(tx, bad_lines=False), fixtures.newest(tx), **options)
+    user_metrics, recent = monitor.published(spark, config)
+    return plain(views.dashboard_view(rules.with_anomalies(user_metrics), recent))
+
+
+@query
+def published_dashboard(spark, sf_dir):
+    """What the monitor has published, both tables of one batch, through rules to the view of the recent users."""
+    return _published_view(spark, sf_dir)
+
+
+@query
+def published_dashboard_fallback(spark, sf_dir):
+    """The same while no transaction is recent (the window begins after the newest one): the most active users."""
+    return _published_view(spark, sf_dir, recent_seconds=-1)
+
+
 @query
 def stream_late_rows(spark, sf_dir):
     """Rows, rejects and late rows, as logged per batch by the monitor; late rows are kept."""

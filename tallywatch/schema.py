@@ -76,6 +76,7 @@ class MonitorConfig:
     data_dir: str
     bootstrap: str = "kafka:9092"
     topic: str = "transactions"
+    starting_offsets: str = "earliest"
     trigger: str = "5 seconds"
     max_per_trigger: int | None = None
     fail_on_data_loss: bool = True
@@ -86,7 +87,10 @@ class MonitorConfig:
     output_files: int | None = None
     compact_every: int = 20
     keep_versions: int = 2
+    keep_log: int = 10_000
     clock: Callable[[], datetime] | None = None
+    #: Called with the name of each table that a batch has just written; an error in it ends the batch there.
+    after_write: Callable[[str], None] | None = None
 
     @property
     def ledger(self) -> str:

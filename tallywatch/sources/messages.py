@@ -50,12 +50,16 @@ def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str, **options
     return reader.load().select("value")
 
 
-def read_line_stream(spark: SparkSession, path: str, max_per_trigger: int | None = None) -> DataFrame:
-    """Text files of JSON lines as a stream; ``max_per_trigger`` counts files per micro-batch."""
-    reader = spark.readStream.format("text")
-    if max_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    return reader.load(path)
+def read_line_stream(
+    spark: SparkSession, path: str, max_per_trigger: int | None = None, max_bytes: str | int | None = None, fail_on_data_loss: bool = True
+) -> DataFrame:
+    """Text files of JSON lines as a stream; ``max_per_trigger`` counts files per micro-batch, ``max_bytes`` their bytes (one file at least).
+
+    A file that was promised to a batch and is gone when it is read fails the stream, or is passed over without ``fail_on_data_loss``.
+    """
+    limits = {"maxFilesPerTrigger": max_per_trigger, "maxBytesPerTrigger": max_bytes}
+    reader = spark.readStream.format("text").option("ignoreMissingFiles", not fail_on_data_loss)
+    return reader.options(**{k: v for k, v in limits.items() if v is not None}).load(path)
 
 
 def read_transaction_stream(spark: SparkSession, fmt: str, location: str, *, topic: str = "transactions", **options) -> DataFrame:

@@ -1,18 +1,21 @@
-"""Streaming tables of one folder per batch: a replayed batch replaces its folder, late rows are kept."""
+"""Streaming tables that batches add to: a replayed batch replaces what it added, late rows are kept."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tallywatch.functions.scalars import before, utc
 from tallywatch.operators.dedup import dedup_tx, seen_ids, without
-from tallywatch.sources import storage
+from tallywatch.sources import folding, storage
 
-SECONDS_SCHEMA = "second timestamp, tx_count bigint, batch_id bigint"
+SERIES = "tier string, start timestamp, tx_count bigint"
+TIERS = ("second", "minute", "hour")
 
 
 def _when(available_now: bool, trigger: str) -> dict:
@@ -51,21 +54,51 @@ def write_first_deliveries(
 
 
 def write_seconds(
-    tx: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds"
+    tx: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds",
+    keep_seconds: int | None = None, keep_minutes: int | None = None, fold_every: int = 20,
 ) -> StreamingQuery:
-    """Transactions per second as partial counts of each batch, the newest second and late rows included."""
+    """Transactions per second as partial counts of each batch, the newest second and late rows included.
 
-    def counts(batch: DataFrame, batch_id: int) -> DataFrame:
+    Every ``fold_every`` batches the counts are folded into one table of three tiers. Seconds over ``keep_seconds`` older
+    than the newest become minutes, and minutes over ``keep_minutes`` older than it hours; without these, tiers keep all. A late
+    row is counted in the tier that its time has reached.
+    """
+    def counts(batch: DataFrame, batch_id: int) -> None:
         timed = batch.filter(F.col("ts").isNotNull())
-        return timed.groupBy(F.date_trunc("second", "ts").alias("second")).agg(F.count("*").alias("tx_count"))
+        seconds = timed.groupBy(F.date_trunc("second", "ts").alias("start")).agg(F.count("*").alias("tx_count"))
+        folding.add(seconds.select(F.lit("second").alias("tier"), "start", "tx_count"), path, batch_id)
+        folding.fold(batch.sparkSession, path, SERIES, batch_id, lambda rows: _rolled_up(rows, keep_seconds, keep_minutes), fold_every)
+
+    return (
+        tx.writeStream.foreachBatch(counts).option("checkpointLocation", checkpoint)
+        .trigger(**_when(available_now, trigger)).start()
+    )
+
+
+def _rolled_up(rows: DataFrame, keep_seconds: int | None, keep_minutes: int | None) -> DataFrame:
+    """Counts in the tier that their age has reached; whole minutes and hours move, so no count is in two tiers."""
+    newest = rows.agg(F.max("start")).scalar()
+    tier, start = F.col("tier"), F.col("start")
+    for finer, coarser, keep in (("second", "minute", keep_seconds), ("minute", "hour", keep_minutes)):
+        if keep is None:
+            continue
+        old = (tier == finer) & (F.date_trunc(coarser, start) < F.date_trunc(coarser, before(newest, keep)))
+        tier, start = F.when(old, coarser).otherwise(tier), F.when(old, F.date_trunc(coarser, start)).otherwise(start)
+    return rows.select(tier.alias("tier"), start.alias("start"), "tx_count").groupBy("tier", "start").agg(F.sum("tx_count").alias("tx_count"))
+
 
-    return _each_batch(tx, counts, path, checkpoint, available_now, trigger)
+def read_series(spark: SparkSession, path: str, tier: str = "second", since: datetime | None = None) -> DataFrame:
+    """(start, tx_count) per ``second``, ``minute`` or ``hour``, from counts of that tier and finer ones; seconds need no other tier."""
+    finer = TIERS[: TIERS.index(tier) + 1]
+    rows = folding.read(spark, path, SERIES).filter(F.col("tier").isin(*finer))
+    if since is not None:
+        rows = rows.filter(F.col("start") >= F.date_trunc(tier, F.lit(utc(since))))
+    return rows.groupBy(F.date_trunc(tier, "start").alias("start")).agg(F.sum("tx_count").alias("tx_count"))
 
 
-def read_seconds(spark: SparkSession, path: str) -> DataFrame:
-    """(second, tx_count) of everything that :func:`write_seconds` has written so far."""
-    parts = spark.read.schema(SECONDS_SCHEMA).parquet(path)
-    return parts.groupBy("second").agg(F.sum("tx_count").alias("tx_count"))
+def read_seconds(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
+    """(second, tx_count) of what :func:`write_seconds` has written so far and still keeps by second."""
+    return read_series(spark, path, "second", since).withColumnRenamed("start", "second")
 
 
 def write_table(rows: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds") -> StreamingQuery:

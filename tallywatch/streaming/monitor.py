@@ -14,14 +14,16 @@ from tallywatch.operators.dedup import dedup_tx, seen_ids, without
 from tallywatch.plans.activity import recent_tx
 from tallywatch.plans.metrics import user_metrics
 from tallywatch.schema import MonitorConfig
-from tallywatch.sources import ledger, snapshots, storage
+from tallywatch.sources import folding, ledger, snapshots, storage
 from tallywatch.sources.messages import decode, read_kafka_stream
 from tallywatch.streaming import state
 
+LOG = "v bigint, batch_rows bigint, rejected_rows bigint, late_rows bigint, tracked_users bigint"
+
 
 def kafka_messages(spark: SparkSession, config: MonitorConfig) -> DataFrame:
     return read_kafka_stream(
-        spark, config.bootstrap, config.topic,
+        spark, config.bootstrap, config.topic, starting_offsets=config.starting_offsets,
         max_per_trigger=config.max_per_trigger, fail_on_data_loss=config.fail_on_data_loss,
     )
 
@@ -68,31 +70,45 @@ def process_batch(spark: SparkSession, config: MonitorConfig, batch: DataFrame,
             repeats = _repeats(spark, config, clean(decoded), batch_id)
             once = dedup_tx(incoming)
             ledger.append(once if repeats is None else without(once, repeats), config.ledger, batch_id)
-            added = ledger.scan(spark, config.ledger).filter(F.col("batch_id") == batch_id)
+            added = ledger.scan(spark, config.ledger, up_to_batch=batch_id).filter(F.col("batch_id") == batch_id)
         else:
             ledger.append(incoming, config.ledger, batch_id)
             added = clean(decoded)
+        wrote = config.after_write or (lambda table: None)
+        wrote("ledger")
 
         if config.incremental:
             state.add_batch(added, config, batch_id)
+            wrote("state")
             metrics = state.metrics(spark, config, batch_id, as_of)
         else:
             metrics = user_metrics(ledger.scan(spark, config.ledger, up_to_batch=batch_id), as_of)
         users = Observation("users")
         metrics = metrics.observe(users, F.count(F.lit(1)).alias("tracked_users"))
         snapshots.publish(metrics, config.user_metrics, batch_id, config.output_files)
+        wrote("user_metrics")
         snapshots.publish(_recent(spark, config, batch_id, as_of), config.recent_tx, batch_id, config.output_files)
-        if config.incremental:
-            state.compact(spark, config, batch_id, as_of)
-        for root in (config.user_metrics, config.recent_tx):
-            snapshots.expire(spark, root, config.keep_versions)
-        counts = {**watch.get, **users.get}
+        wrote("recent_tx")
+        counts = {"v": batch_id, **watch.get, **users.get}
         log = spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
-        snapshots.publish(log, config.batch_log, batch_id, files=1)
+        folding.add(log, config.batch_log, batch_id)
+        wrote("batch_log")
+        _tidy(spark, config, batch_id, as_of)
     finally:
         decoded.unpersist()
 
 
+def _tidy(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> None:
+    """Fold what earlier batches left in small files, and drop what no reader needs. Nothing here changes what readers see."""
+    if config.incremental:
+        state.compact(spark, config, batch_id, as_of)
+    ledger.compact(spark, config.ledger, batch_id, every=config.compact_every)
+    recent_log = F.col("v") > batch_id - config.keep_log
+    folding.fold(spark, config.batch_log, LOG, batch_id, lambda rows: rows.filter(recent_log), config.compact_every)
+    for root in (config.user_metrics, config.recent_tx):
+        snapshots.expire(spark, root, config.keep_versions)
+
+
 def _repeats(spark: SparkSession, config: MonitorConfig, tx: DataFrame, batch_id: int) -> DataFrame | None:
     """The batch's ids that an earlier batch delivered, under whatever day.
 
@@ -104,11 +120,26 @@ def _repeats(spark: SparkSession, config: MonitorConfig, tx: DataFrame, batch_id
 
 
 def _recent(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> DataFrame:
-    first_day = (as_of - timedelta(seconds=config.recent_seconds)).date()
-    rows = ledger.scan_days(spark, config.ledger, ledger.days(spark, config.ledger, first_day))
-    return recent_tx(rows.filter(F.col("batch_id") <= batch_id), as_of, config.recent_seconds)
+    rows = ledger.scan(spark, config.ledger, since=as_of - timedelta(seconds=config.recent_seconds), up_to_batch=batch_id)
+    return recent_tx(rows, as_of, config.recent_seconds)
 
 
 def read_batch_log(spark: SparkSession, config: MonitorConfig) -> DataFrame:
-    """One row per finished batch: ``v`` is the batch id."""
-    return spark.read.parquet(config.batch_log)
+    """One row per finished batch, of the newest ``keep_log`` at least: ``v`` is the batch id.
+
+    The row is the last thing that a batch publishes, so a batch is finished for all its tables or for none.
+    """
+    return folding.read(spark, config.batch_log, LOG)
+
+
+def finished_batch(spark: SparkSession, config: MonitorConfig) -> int | None:
+    """The newest batch of which everything is published."""
+    return read_batch_log(spark, config).agg(F.max("v")).first()[0]
+
+
+def published(spark: SparkSession, config: MonitorConfig) -> tuple[DataFrame, DataFrame] | None:
+    """The metric table and the recent transactions of one and the same batch, the newest that is finished."""
+    version = finished_batch(spark, config)
+    if version is None:
+        return None
+    return tuple(spark.read.parquet(snapshots.version_path(root, version)) for root in (config.user_metrics, config.recent_tx))

@@ -236,7 +236,7 @@ def metrics(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: da
         ),
     )
 
-    first_rows = ledger.scan_days(spark, config.ledger, first_days).filter(F.col("batch_id") <= batch_id)
+    first_rows = ledger.scan_days(spark, config.ledger, first_days, batch_id)
     part_days = both_parties(first_rows.filter(on_any_first_day("ts")), "amount", "ts").select(
         "role", "user", *in_windows(on_first_day("ts"), n=one, exact=exact_part("amount"), rest=rest_part("amount"))
     )
