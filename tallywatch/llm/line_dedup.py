@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallywatch.llm import common
 
 #: Characters (spaces in runs count once) from which a line is compared at all, and from which one edit is allowed.
+#: Shorter lines are what many texts have in common by their form; 0 and 2 are the least values.
 LEAST_CHARS, NEAR_CHARS = 10, 20
 #: Insertions, deletions or replacements of a character; the neighbourhood is built for one.
 EDITS = 1
@@ -25,17 +26,18 @@ _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _SEED = np.uint64(0x632BE59BD9B4E019)
 
 
-def lines_of(text: str | None) -> list[tuple[str, str]]:
+def lines_of(text: str | None, least_chars: int = LEAST_CHARS) -> list[tuple[str, str]]:
     """Each line as it is, and as it is compared: with single spaces, or '' if it is too short."""
     out = []
     for line in (text or "").split("\n"):
         alike = " ".join(line.split())
-        out.append((line, alike if len(alike) >= LEAST_CHARS else ""))
+        out.append((line, alike if len(alike) >= least_chars else ""))
     return out
 
 
-def line_hash(alike: str) -> int:
-    return xxhash.xxh3_64_intdigest(alike.encode("utf-8", "surrogatepass"))
+def line_hash(alike: str) -> bytes:
+    """128 bits that stand for the line."""
+    return xxhash.xxh3_128_digest(alike.encode("utf-8", "surrogatepass"))
 
 
 def half_keys(alike: str) -> list[int]:
@@ -66,212 +68,174 @@ def _signed(value: int) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
-def _map(docs: DataFrame, emit, schema: pa.Schema, ddl: str) -> DataFrame:
+def _map(docs: DataFrame, emit, schema: pa.Schema, ddl: str, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()  # lines that this task has already emitted; forgotten when it grows
-        rows = (row for doc, own, text in common.arrow_rows(batches, ["doc", "hash", "text"]) for row in emit(doc, own, text, seen))
-        yield from common.arrow_batches(rows, schema, 20_000)
+        rows = (row for doc in common.arrow_rows(batches, ["doc", "hash", "text"]) for row in emit(*doc))
+        yield from common.arrow_batches(rows, schema, size)
 
     return docs.mapInArrow(run, ddl)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """line (hash), doc and hash of the document, at (first place in it) and the half keys, for each distinct line of each document."""
-    def emit(doc: int, text_hash: int, text: str, _seen: set) -> Iterator[tuple]:
-        own = set()
-        for at, (_, alike) in enumerate(lines_of(text)):
-            if alike and alike not in own:
-                own.add(alike)
-                keys = [_signed(k) for k in half_keys(alike)] if len(alike) >= NEAR_CHARS else None
-                yield _signed(line_hash(alike)), doc, text_hash, at, keys
+def _lines(docs: DataFrame, least_chars: int, near_chars: int) -> DataFrame:
+    """line (hash), doc and hash of the document, at (first place in it), times and the half keys, for each distinct line of each document."""
+    def emit(doc: int, text_hash: int, text: str) -> Iterator[tuple]:
+        own: dict[str, list[int]] = {}
+        for at, (_, alike) in enumerate(lines_of(text, least_chars)):
+            if alike:
+                own.setdefault(alike, [at, 0])[1] += 1
+        for alike, (at, times) in own.items():
+            keys = [_signed(k) for k in half_keys(alike)] if len(alike) >= near_chars else None
+            yield line_hash(alike), doc, text_hash, at, times, keys
 
-    schema = pa.schema([("line", pa.int64()), ("doc", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("halves", pa.list_(pa.int64()))])
-    return _map(docs, emit, schema, "line long, doc long, hash long, at long, halves array<bigint>")
+    schema = pa.schema([("line", pa.binary()), ("doc", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("times", pa.int64()), ("halves", pa.list_(pa.int64()))])
+    return _map(docs, emit, schema, "line binary, doc long, hash long, at long, times long, halves array<bigint>", 10_000)
 
 
-def _known(docs: DataFrame, wanted: common.IdFilter, emit_line, schema: pa.Schema, ddl: str) -> DataFrame:
-    """What ``emit_line`` gives for lines that may be wanted; about once per task for each, however often it occurs."""
-    maybe = wanted.local_test()
+def _texts(docs: DataFrame, near_chars: int) -> DataFrame:
+    """doc, hash, at and text of each line that can be near another."""
+    def emit(doc: int, text_hash: int, text: str) -> Iterator[tuple]:
+        for at, (_, alike) in enumerate(lines_of(text, near_chars)):
+            if alike:
+                yield doc, text_hash, at, alike
 
-    def emit(_doc: int, _hash: int, text: str, seen: set) -> Iterator[tuple]:
-        for _, alike in lines_of(text):
-            if len(alike) >= NEAR_CHARS:
-                line = _signed(line_hash(alike))
-                if line not in seen and maybe(line):
-                    if len(seen) > 500_000:
-                        seen.clear()
-                    seen.add(line)
-                    yield from emit_line(line, alike)
+    schema = pa.schema([("doc", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("alike", pa.string())])
+    return _map(docs, emit, schema, "doc long, hash long, at long, alike string", 2_000)
 
-    return _map(docs, emit, schema, ddl)
 
+def _emitted(candidates: DataFrame) -> DataFrame:
+    """Variants of the candidates, without the characters in a half that they share: those can't be what differs.
 
-class _Variants:
-    """Variants of the lines that share a half, without the characters in that half: those can't be what differs."""
-
-    def __init__(self, heads: common.IdFilter, tails: common.IdFilter, met: common.IdFilter | None = None):
-        self.head, self.tail, self.met = heads.local_test(), tails.local_test(), met.local_tests() if met else None
-
-    def __call__(self, line: int, alike: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """(variants, positions of the missing character, -1 for the whole line)."""
-        head, tail, n = self.head(line), self.tail(line), len(alike)
-        if not (head or tail):
-            return None
-        whole, without = variants(alike)
-        at = np.arange(0 if tail else (n - 1) // 2, n if head else n // 2 + 1)
-        values = np.concatenate((np.array([whole], dtype=np.uint64), without[at])).view(np.int64)
-        at = np.concatenate(([-1], at)).astype(np.int32)
-        if self.met:
-            kept = self.met(values)
-            values, at = values[kept], at[kept]
-        return values, at
-
-
-def _emitted(docs: DataFrame, of: _Variants) -> DataFrame:
-    schema = pa.schema([("variant", pa.int64()), ("at", pa.int32()), ("line", pa.int64())])
+    ``at`` is the position of the missing character, -1 for the whole line.
+    """
+    schema = pa.schema([("variant", pa.int64()), ("at", pa.int32()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         held: list[tuple] = []
         rows = 0
 
         def batch() -> pa.RecordBatch:
-            lines = np.repeat(np.array([x[0] for x in held], dtype=np.int64), [len(x[1]) for x in held])
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[1] for x in held])), pa.array(np.concatenate([x[2] for x in held])), pa.array(lines)], schema=schema)
-
-        for (text,) in common.arrow_rows(batches, ["text"]):
-            for _, alike in lines_of(text):
-                if len(alike) < NEAR_CHARS or (line := _signed(line_hash(alike))) in seen:
-                    continue
-                if len(seen) > 500_000:
-                    seen.clear()
-                seen.add(line)
-                if made := of(line, alike):
-                    held.append((line, *made))
-                    rows += len(made[0])
-                    if rows > 50_000:
-                        yield batch()
-                        held, rows = [], 0
+            ids = np.repeat(np.array([x[0] for x in held], dtype=np.int64), [len(x[1]) for x in held])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[1] for x in held])), pa.array(np.concatenate([x[2] for x in held])), pa.array(ids)], schema=schema)
+
+        for own, alike, head, tail in common.arrow_rows(batches, ["id", "alike", "head", "tail"]):
+            n = len(alike)
+            whole, without = variants(alike)
+            at = np.arange(0 if tail else (n - 1) // 2, n if head else n // 2 + 1)
+            held.append((own, np.concatenate((np.array([whole], dtype=np.uint64), without[at])).view(np.int64), np.concatenate(([-1], at)).astype(np.int32)))
+            rows += len(at) + 1
+            if rows > 50_000:
+                yield batch()
+                held, rows = [], 0
         if held:
             yield batch()
 
-    return docs.select("text").mapInArrow(run, "variant long, at int, line long")
+    return candidates.select("id", "alike", "head", "tail").mapInArrow(run, "variant long, at int, id long")
 
 
-def near_lines(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def near_lines(docs: DataFrame, nodes: DataFrame, near_chars: int = NEAR_CHARS) -> DataFrame:
     """Lines that are within one edit of an earlier one: line and other.
 
-    ``nodes`` has every distinct line with its first place. Lines that share no half with another can't be near one and
-    are left out first. The others emit a variant for each character they could lose. Lines that share a variant with
-    the same position differ in that character; a line that is another's variant lacks one. For each such set only
-    its earliest line matters, so sets are reduced by aggregation, never paired; the pairs that remain, a few per line,
-    are checked by edit distance.
+    ``nodes`` has every distinct line with its first place. Lines that share no half with another can't be near one; of the
+    others the texts are written once, and all else is done on that table. They emit a variant for each character they
+    could lose. Lines that share a variant with the same position differ in that character; a line that is another's
+    variant lacks one. For each such set only its earliest line matters, so sets are reduced by aggregation, never
+    paired; the pairs that remain, a few per line, are checked by edit distance.
 
-    Variants are emitted twice: all of them as (variant, line) to find those that two lines have, and then those only.
+    Variants are emitted twice: all of them as (variant, id) to find those that two lines have, and then those only.
     """
     halves = nodes.filter("halves IS NOT NULL").select("line", F.posexplode("halves").alias("side", "half")).withColumn("side", F.col("side") % 2)
     shared = halves.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.count("*").alias("n")).filter("a < b").drop("a", "b")
     shared = common.stored(shared, "line-halves")
-    near = common.stored(common.join_unique(halves, shared, ["half"], "n").select("line", "side").distinct(), "line-candidates")
-    heads, tails = common.IdFilter(near.filter("side = 0"), "line"), common.IdFilter(near.filter("side = 1"), "line")
-    two = _emitted(docs, _Variants(heads, tails)).groupBy("variant").agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a < b").select("variant")
-    met = common.IdFilter(common.stored(two, "line-met"), "variant")
-    rows = common.stored(_emitted(docs, _Variants(heads, tails, met)).distinct(), "line-variants")
-    place = nodes.select("line", F.struct("doc", "hash", "at").alias("first"))
-    placed = common.stored(rows.select("line").distinct().join(place, "line"), "line-places")
-    ranked = rows.join(placed, "line")
+    near = common.join_unique(halves, shared, ["half"], "n").groupBy("line").agg(F.max(F.col("side") == 0).alias("head"), F.max(F.col("side") == 1).alias("tail"))
+    wanted = common.stored(nodes.select("line", "doc", "hash", "at").join(near, "line"), "line-candidates")
+    found = _texts(docs, near_chars).join(wanted, ["doc", "hash", "at"]).dropDuplicates(["line"])  # equal rows have the same line there
+    texts = common.stored(found.withColumn("id", F.monotonically_increasing_id()), "line-texts")
+    two = _emitted(texts).groupBy("variant").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("variant")
+    met = common.stored(two, "line-met")
+    rows = common.stored(_emitted(texts).join(met, "variant", "left_semi").distinct(), "line-variants")
+    ranked = rows.join(texts.select("id", F.struct("doc", "hash", "at", "line").alias("first")), "id")
     # A line that has lost a character, against the line that is what remains of it.
     ends = ranked.groupBy("variant").agg(
-        F.min(F.when(F.col("at") == -1, F.struct("first", "line"))).alias("whole"), F.min(F.when(F.col("at") >= 0, F.struct("first", "line"))).alias("cut"),
+        F.min(F.when(F.col("at") == -1, F.struct("first", "id"))).alias("whole"), F.min(F.when(F.col("at") >= 0, F.struct("first", "id"))).alias("cut"),
         F.count("*").alias("n"),
     ).filter("whole IS NOT NULL AND cut IS NOT NULL")
     # Lines that differ in the character at one place.
-    swaps = ranked.filter("at >= 0").groupBy("variant", "at").agg(F.min(F.struct("first", "line")).alias("least"), F.count("*").alias("n")).filter("n > 1")
+    swaps = ranked.filter("at >= 0").groupBy("variant", "at").agg(F.min(F.struct("first", "id")).alias("least"), F.count("*").alias("n")).filter("n > 1")
     ends, swaps = common.stored(ends, "line-ends"), common.stored(swaps, "line-swaps")
-    by_end = common.join_unique(rows, ends, ["variant"], "n").select("line", F.when(F.col("at") == -1, F.col("cut")).otherwise(F.col("whole")).alias("other"))
-    by_swap = common.join_unique(rows.filter("at >= 0"), swaps, ["variant", "at"], "n").select("line", F.col("least").alias("other"))
-    pairs = by_end.unionByName(by_swap).join(placed, "line").filter("other.first < first").select("line", F.col("other.line").alias("other")).distinct()
-    pairs = common.stored(pairs, "line-pairs")
-    texts_wanted = common.IdFilter(pairs.select("line").union(pairs.select("other")).distinct(), "line")
-    texts = _known(docs, texts_wanted, lambda line, alike: iter([(line, alike)]), pa.schema([("line", pa.int64()), ("alike", pa.string())]), "line long, alike string")
-    texts = common.stored(texts.dropDuplicates(["line"]), "line-texts")
-    checked = pairs.join(texts, "line").join(texts.select(F.col("line").alias("other"), F.col("alike").alias("other_alike")), "other")
-    return checked.filter(F.levenshtein("alike", "other_alike", EDITS) >= 0).select("line", "other")
-
-
-def deduplicated(docs: DataFrame, by_row: bool = False) -> DataFrame:
+    by_end = common.join_unique(rows, ends, ["variant"], "n").select("id", F.when(F.col("at") == -1, F.col("cut")).otherwise(F.col("whole")).alias("other"))
+    by_swap = common.join_unique(rows.filter("at >= 0"), swaps, ["variant", "at"], "n").select("id", F.col("least").alias("other"))
+    pairs = by_end.unionByName(by_swap).select("id", F.col("other.id").alias("other"), F.col("other.first").alias("first")).distinct()
+    own = texts.select("id", "line", "alike", F.struct("doc", "hash", "at", "line").alias("own_first"))
+    checked = pairs.join(own, "id").filter("first < own_first").select("line", "alike", "other")
+    checked = checked.join(texts.select(F.col("id").alias("other"), F.col("line").alias("other_line"), F.col("alike").alias("other_alike")), "other")
+    return checked.filter(F.levenshtein("alike", "other_alike", EDITS) >= 0).select("line", F.col("other_line").alias("other"))
+
+
+def deduplicated(docs: DataFrame, least_chars: int = LEAST_CHARS, near_chars: int = NEAR_CHARS) -> DataFrame:
     """``docs`` with the text's later lines removed, n_chars of what is left, and n_lines, n_removed, n_near.
 
-    A line goes if the same line stands in a smaller doc_id or before it in its document, or if any line within one edit
-    of it has its first place earlier, by (doc_id, line number). Each line is judged against all lines, kept or not, so the
-    result does not depend on an order of work. Lines under ``LEAST_CHARS`` characters always stay; under
-    ``NEAR_CHARS`` only equal lines count.
+    Each row is a document, in the order of (doc_id, hash of the text, copy number); a null doc_id comes first. A line goes if
+    the same line stands in an earlier document or before it in its own, or if any line within one edit of it has its first
+    place earlier. Each line is judged against all lines, kept or not, so the result does not depend on an order of work.
+    Lines under ``least_chars`` characters always stay; under ``near_chars`` only equal lines count.
 
-    With ``by_row`` each row is a document, in the order of (doc_id, hash of the text, copy number): of rows that share a doc_id or
-    have none, the later ones lose what they share. Else rows of one doc_id count as one document: lines that they share
-    stay in each. A null doc_id comes first; a null text is
-    empty and stays null; an empty table gives no rows; columns of ``docs`` named n_lines, n_removed or n_near are replaced.
+    Of rows that share a doc_id or have none, the later ones lose what they share; of equal rows, one keeps what it may. A
+    null text is empty and stays null; an empty table gives no rows; columns of ``docs`` named n_lines, n_removed or n_near
+    are replaced, others may have any name.
     """
-    new = ["n_lines", "n_removed", "n_near"]
-    docs = docs.drop(*new)
-    rows = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    apart = by_row and common.ids_repeat(rows, "_doc")
-    rows = rows.withColumn("_hash", F.xxhash64(common.text_or_empty()) if apart else F.lit(0).cast("long"))
-    texts = rows.select(F.col("_doc").alias("doc"), F.col("_hash").alias("hash"), common.text_or_empty().alias("text"))
-    lines = common.stored(_lines(texts), "lines")
+    docs = docs.drop("n_lines", "n_removed", "n_near")
+    key = ["doc", "hash"]
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(common.text_or_empty()).alias("hash"), common.text_or_empty().alias("text"),
+    )
+    texts = rows.select(*key, "text")
+    lines = common.stored(_lines(texts, least_chars, near_chars), "lines")
     nodes = lines.groupBy("line").agg(F.min(F.struct("doc", "hash", "at", "halves")).alias("first"), F.count("*").alias("n")).select("line", "first.*", "n")
     nodes = common.stored(nodes, "line-nodes")
-    near = near_lines(texts, nodes).select("line").distinct().withColumn("near", F.lit(True))
+    near = near_lines(texts, nodes, near_chars).select("line").distinct().withColumn("near", F.lit(True))
     judged = nodes.select("line", F.col("doc").alias("first_doc"), F.col("hash").alias("first_hash"), "n").join(near, "line", "left").filter("near OR n > 1")
     judged = common.stored(judged.withColumn("near", F.coalesce("near", F.lit(False))), "line-verdicts")
-    gone = common.join_unique(lines.select("line", "doc", "hash"), judged, ["line"], "n").filter("near OR doc > first_doc OR (doc = first_doc AND hash > first_hash)")
-    listed = F.collect_set if apart else F.collect_list  # copies of a row give its lines again
-    marked = gone.groupBy(F.col("doc").alias("_doc"), F.col("hash").alias("_hash")).agg(listed("line").alias("_gone"), listed(F.when(F.col("near"), F.col("line"))).alias("_near"))
-    marked = common.stored(marked, "line-marks").withColumn("n", F.lit(1).cast("long"))
-    key, code = ["_doc", "_hash"], F.xxhash64("_doc", "_hash")
-    if apart:
-        copies = rows.groupBy(*key).count().filter("count > 1")
-        marked = marked.drop("n").join(copies, key, "full").withColumn("n", F.coalesce("count", F.lit(1))).drop("count")
-        marked = common.stored(marked, "line-row-marks")
-    marks = common.IdFilter(marked.withColumn("code", code), "code")
-    rows = rows.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_own"), *key).withColumn("_code", code).withColumn("_maybe", marks.test("_code"))
-    none = F.lit(None).cast("array<bigint>")
-    out = rows.filter("NOT _maybe").select("_own", none.alias("_gone"), none.alias("_near"), F.lit(False).alias("again"))
-    if apart:
-        touched = common.join_unique(rows.filter("_maybe"), marked, key, "n", "left")
-        out = out.unionByName(common.copies_marked(touched.filter("n > 1"), key, "line-copies").select(*out.columns))
-        touched = touched.filter("n IS NULL OR n = 1")
-    else:
-        touched = rows.filter("_maybe").join(marked, key, "left")
-    out = out.unionByName(touched.withColumn("again", F.lit(False)).select(*out.columns))
-    return _without(out.select("_own.*", "_gone", "_near", F.col("again").alias("_again")), docs.columns)
-
-
-def _without(rows: DataFrame, columns: list[str]) -> DataFrame:
+    gone = common.join_unique(lines.select("line", *key), judged, ["line"], "n").filter("near OR doc > first_doc OR (doc = first_doc AND hash > first_hash)")
+    repeated = lines.filter("times > 1").select(F.lit(None).cast("binary").alias("line"), *key, F.lit(False).alias("near"))
+    marked = gone.select("line", *key, "near").unionByName(repeated).groupBy(*key).agg(F.collect_set("line").alias("gone"), F.collect_set(F.when(F.col("near"), F.col("line"))).alias("near"))
+    copies = rows.groupBy(*key).count().filter("count > 1")
+    marked = common.stored(marked.join(copies, key, "full").withColumn("n", F.coalesce("count", F.lit(1))).drop("count"), "line-marks")
+    found = marked.select(*key)
+    none = F.lit(0).cast("long")
+    untouched = rows.join(found, key, "left_anti").select("own", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), none.alias("n_removed"), none.alias("n_near"))
+    touched = common.join_unique(rows.join(found, key, "left_semi"), marked, key, "n")
+    single = touched.filter("n = 1").withColumn("again", F.lit(False))
+    several = common.copies_marked(touched.filter("n > 1"), key, "line-copies").select(*single.columns)
+    out = untouched.unionByName(_without(single.unionByName(several), least_chars))
+    text = F.when(F.col("own.text").isNotNull(), F.col("text"))
+    made = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return out.select(*(made.get(c, F.col("own").getField(c)).alias(c) for c in docs.columns), "n_lines", "n_removed", "n_near")
+
+
+def _without(rows: DataFrame, least_chars: int) -> DataFrame:
+    """The rows' texts without the lines that are gone; ``again``: an equal row before this one has had all its lines."""
     @F.pandas_udf("text string, n_lines long, n_removed long, n_near long")
     def clean(text, gone, near, again):
         import pandas as pd
 
         out = []
         for t, g, m, a in zip(text, gone, near, again, strict=True):
-            g, m = set(() if g is None else g), set(() if m is None else m)
-            lines, kept, seen, n_near = lines_of(t), [], set(), 0
+            g, m = set(() if g is None else map(bytes, g)), set(() if m is None else map(bytes, m))
+            lines, kept, seen, n_near = lines_of(t, least_chars), [], set(), 0
             for line, alike in lines:
-                h = _signed(line_hash(alike)) if alike else None
+                h = line_hash(alike) if alike else None
                 if alike and (a or h in g or h in seen):
                     n_near += h in m
                     continue
                 seen.add(h)
                 kept.append(line)
-            out.append((None if t is None else "\n".join(kept), len(lines), len(lines) - len(kept), n_near))
+            out.append(("\n".join(kept), len(lines), len(lines) - len(kept), n_near))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed", "n_near"])
 
-    cleaned = rows.withColumn("_clean", clean("text", "_gone", "_near", "_again"))
-    made = {"text": F.col("_clean.text"), "n_chars": F.char_length("_clean.text").cast("long")}
-    same = [made.get(c, F.col(f"`{c}`")).alias(c) for c in columns]
-    return cleaned.select(*same, "_clean.n_lines", "_clean.n_removed", "_clean.n_near")
+    return rows.select("own", clean("text", "gone", "near", "again").alias("clean")).select("own", "clean.text", "clean.n_lines", "clean.n_removed", "clean.n_near")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return deduplicated(docs, by_row=True).select("doc_id", "text", "n_lines", "n_removed", "n_near")
+    return deduplicated(docs).select("doc_id", "text", "n_lines", "n_removed", "n_near")

@@ -67,17 +67,26 @@ def test_a_hot_line_and_its_near_copies_go_once(docs):
 def test_odd_rows(odd):
     got = ld.deduplicated(odd)
     assert got.columns == [*odd.columns, "n_lines", "n_removed", "n_near"] and got.count() == odd.count()
-    assert [r.text for r in got.filter("doc_id = 5").collect()].count("the same line of text here\nand another line of it") == 2
+    assert [r.text for r in got.filter("doc_id = 5").collect()].count("the same line of text here\nand another line of it") == 1
     assert [r.text for r in got.filter("doc_id = 6").collect()] == ["and one more line"]
     assert ld.deduplicated(odd.limit(0)).count() == 0
 
 
+def test_columns_may_have_any_name_and_short_lines_a_limit_of_their_own(spark):
+    names = ["doc", "hash", "own", "line", "at", "gone", "near", "again", "n", "_doc", "_hash"]
+    rows = [(i, "ab\nab\nlong enough to compare with others") for i in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *(f"'{n}' AS {n}" for n in names))
+    got = ld.deduplicated(table, least_chars=1).collect()
+    assert {tuple(r[n] for n in names) for r in got} == {tuple(names)}
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in got) == [(0, "ab\nlong enough to compare with others", 1), (1, "", 3), (2, "", 3)]
+
+
 def test_each_row_is_a_document(docs):
     """Rows under one id or none: one keeps a shared line, whatever row it is; copies of a row keep nothing."""
     shared, near = "this line stands in every row of all", "this line stands in every row of all!"
     rows = [(k, f"{shared if j % 2 else near}\nown words of key {k} row number {chr(97 + j) * 12}") for k in (None, 3) for j in range(6)]
     rows += [(None, rows[0][1])] * 3 + [(3, rows[7][1])] * 2 + [(4, "a line that only one row has"), (None, None)]
-    got = ld.deduplicated(docs(*rows), by_row=True)
+    got = ld.deduplicated(docs(*rows))
     assert got.count() == len(rows) and got.columns == [*docs(*rows).columns, "n_lines", "n_removed", "n_near"]
     left = [line for r in got.collect() for line in (r.text or "").split("\n") if line]
     assert sorted(x for x in left if not x.startswith("this line")) == sorted({x for _, t in rows if t for x in t.split("\n") if not x.startswith("this line")})
