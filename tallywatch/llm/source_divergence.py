@@ -43,7 +43,7 @@ def worded(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = common.arrow_rows(batches, ["lang", "source", "text"])
-        yield from common.arrow_batches(((lang, source, [f"{lang}{SEPARATOR}{t}" for t in _TERM.findall(text.translate(_LOWER))]) for lang, source, text in rows), schema, 500)
+        yield from common.arrow_batches(((lang, source, list(map(f"{lang}{SEPARATOR}".__add__, _TERM.findall(text.translate(_LOWER))))) for lang, source, text in rows), schema, 500)
 
     return docs.select(lang, source, common.text_or_empty().alias("text")).mapInArrow(run, "lang string, source string, terms array<string>")
 
@@ -58,9 +58,13 @@ def _sums_by_model(docs: DataFrame, least_docs: int) -> tuple[DataFrame, DataFra
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_docs), vocabSize=2**31 - 1).fit(docs.select("terms").unionByName(mark))
     named = [(i, *t.rsplit(SEPARATOR, 1)) for i, t in enumerate(model.vocabulary) if t != _MARK]
     vocabulary = spark.createDataFrame(named, "term int, lang string, item string")
+    # Sums over two numbers are Spark's fastest; a group's number stands for its names until then.
+    groups = common.stored(docs.select("lang", "source").distinct().withColumn("group", F.monotonically_increasing_id()), "divergence-numbers")
     sparse = F.unwrap_udt("vector")
-    entries = model.transform(docs).select("lang", "source", F.inline(F.arrays_zip(sparse["indices"].alias("term"), sparse["values"].alias("n"))))
-    return vocabulary, entries.groupBy("lang", "source", "term").agg(F.sum(F.col("n").cast("long")).alias("n"))
+    vectors = model.transform(docs).select("lang", "source", sparse.alias("vector")).join(groups, ["lang", "source"])
+    entries = vectors.select("group", F.inline(F.arrays_zip(F.col("vector.indices").alias("term"), F.col("vector.values").alias("n"))))
+    sums = common.stored(entries.groupBy("group", "term").agg(F.sum(F.col("n").cast("long")).alias("n")), "divergence-group-sums")
+    return vocabulary, sums.join(groups, "group").select("lang", "source", "term", "n")
 
 
 def _sums_by_rows(docs: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
