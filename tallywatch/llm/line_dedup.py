@@ -148,7 +148,9 @@ def near_lines(docs: DataFrame, nodes: DataFrame, near_chars: int = NEAR_CHARS)
     shared = common.stored(shared, "line-halves")
     near = common.join_unique(halves, shared, ["half"], "n").groupBy("line").agg(F.max(F.col("side") == 0).alias("head"), F.max(F.col("side") == 1).alias("tail"))
     wanted = common.stored(nodes.select("line", "doc", "hash", "at").join(near, "line"), "line-candidates")
-    found = _texts(docs, near_chars).join(wanted, ["doc", "hash", "at"]).dropDuplicates(["line"])  # equal rows have the same line there
+    places = ["doc", "hash", "at"]
+    there = common.stored(wanted.select(*places), "line-places")  # narrow, so that Spark need not shuffle the lines while it is small
+    found = _texts(docs, near_chars).join(there, places, "left_semi").join(wanted, places).dropDuplicates(["line"])  # equal rows have the same line there
     texts = common.stored(found.withColumn("id", F.monotonically_increasing_id()), "line-texts")
     two = _emitted(texts).groupBy("variant").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("variant")
     met = common.stored(two, "line-met")
@@ -186,10 +188,10 @@ def deduplicated(docs: DataFrame, least_chars: int = LEAST_CHARS, near_chars: in
     docs = docs.drop("n_lines", "n_removed", "n_near")
     key = ["doc", "hash"]
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64(common.text_or_empty()).alias("hash"), common.text_or_empty().alias("text"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("own"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(common.text_or_empty()).alias("hash"),
     )
-    texts = rows.select(*key, "text")
+    texts = rows.select(*key, common.text_or_empty().alias("text"))
     lines = common.stored(_lines(texts, least_chars, near_chars), "lines")
     nodes = lines.groupBy("line").agg(F.min(F.struct("doc", "hash", "at", "halves")).alias("first"), F.count("*").alias("n")).select("line", "first.*", "n")
     nodes = common.stored(nodes, "line-nodes")
@@ -201,15 +203,14 @@ def deduplicated(docs: DataFrame, least_chars: int = LEAST_CHARS, near_chars: in
     marked = gone.select("line", *key, "near").unionByName(repeated).groupBy(*key).agg(F.collect_set("line").alias("gone"), F.collect_set(F.when(F.col("near"), F.col("line"))).alias("near"))
     copies = rows.groupBy(*key).count().filter("count > 1")
     marked = common.stored(marked.join(copies, key, "full").withColumn("n", F.coalesce("count", F.lit(1))).drop("count"), "line-marks")
-    found = marked.select(*key)
+    found = common.stored(marked.select(*key), "line-touched")  # narrow: while it is small, texts are not shuffled to find those that stay
     none = F.lit(0).cast("long")
-    untouched = rows.join(found, key, "left_anti").select("own", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), none.alias("n_removed"), none.alias("n_near"))
+    untouched = rows.join(found, key, "left_anti").select("own", "text", F.size(F.split(common.text_or_empty(), "\n")).cast("long").alias("n_lines"), none.alias("n_removed"), none.alias("n_near"))
     touched = common.join_unique(rows.join(found, key, "left_semi"), marked, key, "n")
     single = touched.filter("n = 1").withColumn("again", F.lit(False))
     several = common.copies_marked(touched.filter("n > 1"), key, "line-copies").select(*single.columns)
     out = untouched.unionByName(_without(single.unionByName(several), least_chars))
-    text = F.when(F.col("own.text").isNotNull(), F.col("text"))
-    made = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    made = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
     return out.select(*(made.get(c, F.col("own").getField(c)).alias(c) for c in docs.columns), "n_lines", "n_removed", "n_near")
 
 
@@ -230,7 +231,7 @@ def _without(rows: DataFrame, least_chars: int) -> DataFrame:
                     continue
                 seen.add(h)
                 kept.append(line)
-            out.append(("\n".join(kept), len(lines), len(lines) - len(kept), n_near))
+            out.append((None if t is None else "\n".join(kept), len(lines), len(lines) - len(kept), n_near))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed", "n_near"])
 
     return rows.select("own", clean("text", "gone", "near", "again").alias("clean")).select("own", "clean.text", "clean.n_lines", "clean.n_removed", "clean.n_near")
