@@ -17,7 +17,7 @@ from tallywatch.llm.chat_template import TemplateError, compile_template, fold,
 
 def test_registered():
     numbers = {name.split("_")[0] for name in entry.queries() if name.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+    assert numbers == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
