@@ -19,7 +19,7 @@ HOT_SHARE = 1000
 #: Rows of metadata (not texts) that one task handles at a time.
 ROWS_PER_BLOCK = 500_000
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,7 +129,7 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     out = np.full(n, width, dtype=np.uint64)
     for k in range(width):
-        out = mixed(out * _MIX + hashes[k : k + n])
+        out = mixed(out * ODD + hashes[k : k + n])
     return out
 
 

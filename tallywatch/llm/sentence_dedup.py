@@ -27,7 +27,9 @@ _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3001-\u312f\u
 
 _SENTENCE = re.compile(rf"[^{_ENDS}]+[{_ENDS.replace(chr(10), '')}]*\s*|[{_ENDS}]+\s*")
 _UNIT = re.compile(rf"[{_UNSPACED}]\s*|[^\s{_UNSPACED}]+\s*|\s+")
+_PLAIN_UNIT = re.compile(r"\S+\s*|\s+")  # the same for ASCII
 _DENSE = re.compile(rf"[{_UNSPACED}]")
+_LETTER = re.compile(r"\w")
 
 
 def _words(piece: str) -> int:
@@ -37,34 +39,64 @@ def _words(piece: str) -> int:
     return len(_DENSE.sub(" ", piece).split()) + (dense + 1) // 2
 
 
-def _cut(piece: str) -> list[str]:
-    """The pieces of a long sentence. It is cut behind each word with the least hash of some ``CUT_WITHIN`` words in a row.
+def _cuts(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Where to cut rows of words of these sizes, laid end to end: behind each word with the least hash of some ``CUT_WITHIN`` in a row.
 
     Whether a word is one depends on the words up to ``CUT_WITHIN`` - 1 before and after it and not on its place, so the same
-    passage has the same cuts inside, wherever it stands.
+    passage has the same cuts inside, wherever it stands. The ends of the rows are cuts too.
     """
-    units = _UNIT.findall(piece)
-    if len(units) <= CUT_WITHIN:
-        return [piece]
-    hashes = common.word_hashes([u.strip().encode("utf-8", "surrogatepass") for u in units])
-    seen = np.lib.stride_tricks.sliding_window_view(hashes[::-1], CUT_WITHIN)
-    last = np.unique(len(units) - 1 - (seen.argmin(axis=1) + np.arange(len(seen))))  # the last one of equal words
-    ends = [*(last[last < len(units) - 1] + 1).tolist(), len(units)]
-    return ["".join(units[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+    ends = np.cumsum(sizes)
+    starts = len(hashes) - CUT_WITHIN + 1
+    if starts <= 0:
+        return ends
+    least, at = hashes[:starts].copy(), np.zeros(starts, dtype=np.int64)
+    for k in range(1, CUT_WITHIN):  # of equal words the last one counts
+        here = hashes[k : k + starts]
+        no_more = here <= least
+        at[no_more] = k
+        least = np.minimum(least, here)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    inside = row[:starts] == row[CUT_WITHIN - 1 :]
+    cut = np.zeros(len(hashes) + 1, dtype=bool)
+    cut[(at + np.arange(starts))[inside] + 1] = True
+    cut[ends] = True
+    return np.flatnonzero(cut)
+
+
+def _cut(pieces: list[str]) -> list[list[str]]:
+    """The parts of each long sentence."""
+    units = [(_PLAIN_UNIT if p.isascii() else _UNIT).findall(p) for p in pieces]
+    flat = [u for us in units for u in us]
+    cuts = _cuts(common.word_hashes([u.strip().encode("utf-8", "surrogatepass") for u in flat]), [len(us) for us in units]).tolist()
+    out, a, at = [], 0, 0
+    for us in units:
+        parts, end = [], a + len(us)
+        while a < end:
+            parts.append("".join(flat[a : cuts[at]]))
+            a, at = cuts[at], at + 1
+        out.append(parts)
+    return out
 
 
 def sentences(text: str) -> list[tuple[str, int]]:
     """(sentence, words) in order; joined, they are the text. Pieces without a word stay with the sentence before them."""
-    out: list[list] = []
+    out: list[list] = []  # sentence, words, what stays with it
+    count = (lambda piece: len(piece.split())) if text.isascii() else _words
     for piece in _SENTENCE.findall(text):
-        words = _words(piece)
-        if not re.search(r"\w", piece) and out:
-            out[-1][0] += piece
-        elif words > MOST_WORDS:
-            out += [[p, _words(p)] for p in _cut(piece)]
+        if out and not _LETTER.search(piece):
+            out[-1][2] += piece
+        else:
+            out.append([piece, count(piece), ""])
+    cut = iter(_cut([piece for piece, words, _ in out if words > MOST_WORDS]))
+    parts: list[tuple[str, int]] = []
+    for piece, words, rest in out:
+        if words > MOST_WORDS:
+            *some, last = next(cut)
+            parts += [(p, count(p)) for p in some]
+            parts.append((last + rest, count(last)))
         else:
-            out.append([piece, words])
-    return [(s, n) for s, n in out]
+            parts.append((piece + rest, words))
+    return parts
 
 
 def spans(parts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,12 +108,18 @@ def spans(parts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
         return hashes, ends
     own = common.word_hashes([" ".join(s.split()).encode("utf-8", "surrogatepass") for s, _ in parts])
     words = np.concatenate(([0], np.cumsum([w for _, w in parts])))
-    last = np.maximum(np.searchsorted(words, words[:-1] + LEAST_WORDS, side="left"), np.arange(n) + LEAST_SENTENCES)
-    whole = last <= n
-    for size in np.unique((last - np.arange(n))[whole]):
-        at = np.flatnonzero(whole & (last - np.arange(n) == size))
-        hashes[at] = common.window_hashes(own, int(size))[at]
-    ends[whole] = last[whole]
+    last = np.maximum(np.searchsorted(words, words[:-1] + LEAST_WORDS, side="left"), ends + LEAST_SENTENCES)
+    at = np.flatnonzero(last <= n)
+    sizes = last[at] - at
+    ends[at] = last[at]
+    folded, size = sizes.astype(np.uint64), 0
+    while len(at):  # all spans take their next sentence at once; the shortest are done first
+        folded = common.mixed(folded * common.ODD + own[at + size])
+        size += 1
+        more = sizes > size
+        if not more.all():
+            hashes[at[~more]] = folded[~more]
+            at, sizes, folded = at[more], sizes[more], folded[more]
     return hashes, ends
 
 
@@ -93,14 +131,15 @@ def _distinct(text: str) -> np.ndarray:
 def covered(parts: list[tuple[str, int]], repeated: set[int]) -> np.ndarray:
     """Which sentences to remove: under a span that is ``repeated`` elsewhere before, or that this text had before."""
     hashes, ends = spans(parts)
-    out = np.zeros(len(parts), dtype=bool)
-    seen: set[int] = set()
-    for at, (h, end) in enumerate(zip(hashes.tolist(), ends.tolist(), strict=True)):
-        if end > at:
-            if h in repeated or h in seen:
-                out[at:end] = True
-            seen.add(h)
-    return out
+    at = np.flatnonzero(ends > np.arange(len(ends)))
+    later = np.ones(len(at), dtype=bool)
+    later[np.unique(hashes[at], return_index=True)[1]] = False
+    if repeated:
+        later |= np.isin(hashes[at], np.fromiter(repeated, dtype=np.uint64, count=len(repeated)))
+    edges = np.zeros(len(parts) + 1, dtype=np.int64)
+    np.add.at(edges, at[later], 1)
+    np.add.at(edges, ends[at[later]], -1)
+    return np.cumsum(edges[:-1]) > 0
 
 
 _SPANS = pa.schema([("span", pa.int64()), ("doc", pa.int64()), ("hash", pa.int64())])
