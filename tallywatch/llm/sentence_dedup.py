@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,11 +33,15 @@ _DENSE = re.compile(rf"[{_UNSPACED}]")
 _LETTER = re.compile(r"\w")
 
 
+def _spaced(piece: str) -> bool:
+    return piece.isascii() or not _DENSE.search(piece)
+
+
 def _words(piece: str) -> int:
     """Words between spaces; of scripts without spaces, two characters count as one."""
-    if piece.isascii() or not (dense := len(_DENSE.findall(piece))):
+    if _spaced(piece):
         return len(piece.split())
-    return len(_DENSE.sub(" ", piece).split()) + (dense + 1) // 2
+    return len(_DENSE.sub(" ", piece).split()) + (len(_DENSE.findall(piece)) + 1) // 2
 
 
 def _cuts(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
@@ -63,51 +68,74 @@ def _cuts(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def _cut(pieces: list[str]) -> list[list[str]]:
-    """The parts of each long sentence."""
-    units = [(_PLAIN_UNIT if p.isascii() else _UNIT).findall(p) for p in pieces]
-    flat = [u for us in units for u in us]
-    cuts = _cuts(common.word_hashes([u.strip().encode("utf-8", "surrogatepass") for u in flat]), [len(us) for us in units]).tolist()
-    out, a, at = [], 0, 0
-    for us in units:
-        parts, end = [], a + len(us)
+def _cut(pieces: list[str]) -> list[list[tuple[str, int, str]]]:
+    """The parts of each long sentence, each with its words and the part as it is hashed."""
+    units: list[str] = []
+    bare: list[str] = []
+    sizes, spaced = [], []
+    for piece in pieces:
+        spaced.append(plain := _spaced(piece))
+        found = (_PLAIN_UNIT if plain else _UNIT).findall(piece)
+        sizes.append(len(found))
+        units += found
+        if not plain:
+            bare += [u.strip() for u in found]
+        elif found[0].isspace():
+            bare += ["", *piece.split()]
+        else:
+            bare += piece.split()
+    cuts = iter(_cuts(common.word_hashes([u.encode("utf-8", "surrogatepass") for u in bare]), sizes).tolist())
+    out, a = [], 0
+    for size, plain in zip(sizes, spaced, strict=True):
+        parts, end = [], a + size
         while a < end:
-            parts.append("".join(flat[a : cuts[at]]))
-            a, at = cuts[at], at + 1
+            b = next(cuts)
+            part = "".join(units[a:b])
+            if plain and bare[a]:
+                parts.append((part, b - a, " ".join(bare[a:b])))
+            else:
+                parts.append((part, _words(part), " ".join(part.split())))
+            a = b
         out.append(parts)
     return out
 
 
-def sentences(text: str) -> list[tuple[str, int]]:
-    """(sentence, words) in order; joined, they are the text. Pieces without a word stay with the sentence before them."""
-    out: list[list] = []  # sentence, words, what stays with it
-    count = (lambda piece: len(piece.split())) if text.isascii() else _words
+def _parsed(text: str) -> list[tuple[str, int, str]]:
+    """(sentence, words, the sentence with single spaces) in order."""
+    out: list[list] = []  # sentence, words, with single spaces, what stays with it
     for piece in _SENTENCE.findall(text):
         if out and not _LETTER.search(piece):
-            out[-1][2] += piece
+            out[-1][3] += piece
         else:
-            out.append([piece, count(piece), ""])
-    cut = iter(_cut([piece for piece, words, _ in out if words > MOST_WORDS]))
-    parts: list[tuple[str, int]] = []
-    for piece, words, rest in out:
+            words = piece.split()
+            out.append([piece, len(words) if _spaced(piece) else _words(piece), " ".join(words), ""])
+    cut = iter(_cut([x[0] for x in out if x[1] > MOST_WORDS]))
+    parts: list[tuple[str, int, str]] = []
+    for piece, words, bare, rest in out:
         if words > MOST_WORDS:
-            *some, last = next(cut)
-            parts += [(p, count(p)) for p in some]
-            parts.append((last + rest, count(last)))
-        else:
-            parts.append((piece + rest, words))
+            parts += next(cut)
+            piece, words, bare = parts.pop()
+        parts.append((piece + rest, words, " ".join((piece + rest).split())) if rest else (piece, words, bare))
     return parts
 
 
-def spans(parts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """For each sentence from which a span begins: the span's hash and the sentence after it, else (0, own position)."""
+def sentences(text: str) -> list[tuple[str, int]]:
+    """(sentence, words) in order; joined, they are the text. Pieces without a word stay with the sentence before them."""
+    return [(s, words) for s, words, _ in _parsed(text)]
+
+
+def spans(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """For each sentence from which a span begins: the span's hash and the sentence after it, else (0, own position).
+
+    ``parts`` are (sentence, words), with the sentence in single spaces behind them if it is known.
+    """
     n = len(parts)
     hashes = np.zeros(n, dtype=np.uint64)
     ends = np.arange(n)
     if not n:
         return hashes, ends
-    own = common.word_hashes([" ".join(s.split()).encode("utf-8", "surrogatepass") for s, _ in parts])
-    words = np.concatenate(([0], np.cumsum([w for _, w in parts])))
+    own = common.word_hashes([(bare[0] if bare else " ".join(s.split())).encode("utf-8", "surrogatepass") for s, _, *bare in parts])
+    words = np.concatenate(([0], np.cumsum([p[1] for p in parts])))
     last = np.maximum(np.searchsorted(words, words[:-1] + LEAST_WORDS, side="left"), ends + LEAST_SENTENCES)
     at = np.flatnonzero(last <= n)
     sizes = last[at] - at
@@ -123,12 +151,7 @@ def spans(parts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, ends
 
 
-def _distinct(text: str) -> np.ndarray:
-    hashes, ends = spans(sentences(text))
-    return np.unique(hashes[ends > np.arange(len(ends))])
-
-
-def covered(parts: list[tuple[str, int]], repeated: set[int]) -> np.ndarray:
+def covered(parts: list[tuple], repeated: set[int]) -> np.ndarray:
     """Which sentences to remove: under a span that is ``repeated`` elsewhere before, or that this text had before."""
     hashes, ends = spans(parts)
     at = np.flatnonzero(ends > np.arange(len(ends)))
@@ -136,28 +159,69 @@ def covered(parts: list[tuple[str, int]], repeated: set[int]) -> np.ndarray:
     later[np.unique(hashes[at], return_index=True)[1]] = False
     if repeated:
         later |= np.isin(hashes[at], np.fromiter(repeated, dtype=np.uint64, count=len(repeated)))
-    edges = np.zeros(len(parts) + 1, dtype=np.int64)
-    np.add.at(edges, at[later], 1)
-    np.add.at(edges, ends[at[later]], -1)
-    return np.cumsum(edges[:-1]) > 0
+    return under(len(parts), at[later] * _SIZES + ends[at[later]] - at[later])
 
 
-_SPANS = pa.schema([("span", pa.int64()), ("doc", pa.int64()), ("hash", pa.int64())])
+#: A span's place in its text in one number: the first sentence, and how many it covers.
+_SIZES = 64
+_PARTS = pa.schema([
+    ("doc_id", pa.int64()), ("doc", pa.int64()), ("text", pa.string()), ("hash", pa.int64()), ("lengths", pa.list_(pa.int32())),
+    ("spans", pa.list_(pa.struct([("span", pa.int64()), ("place", pa.int64())]))),
+])
+_PARTS_DDL = "doc_id long, doc long, text string, hash long, lengths array<int>, spans array<struct<span:long,place:long>>"
+#: Rows and characters that a task holds at a time.
+_ROWS, _CHARS = 500, 4_000_000
 
 
-def _signed(values: np.ndarray) -> np.ndarray:
-    return values.view(np.int64)
+def _lists(arrays: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    return pa.array(offsets), np.concatenate(arrays)
 
 
-def _spans_of(docs: DataFrame) -> DataFrame:
+def _parts_batch(rows: list[tuple]) -> pa.RecordBatch:
+    *plain, lengths, found, places = zip(*rows, strict=True)
+    offsets, flat = _lists(lengths)
+    span_offsets, flat_spans = _lists(found)
+    structs = pa.StructArray.from_arrays([pa.array(flat_spans.view(np.int64)), pa.array(np.concatenate(places))], fields=list(_PARTS.field("spans").type.value_type))
+    arrays = [*(pa.array(c, type=f.type) for c, f in zip(plain, _PARTS, strict=False)), pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.ListArray.from_arrays(span_offsets, structs)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_PARTS)
+
+
+def _parted(docs: DataFrame) -> DataFrame:
+    """Each row with the lengths of its sentences and its spans: the only time that texts are cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        chars = 0
         for batch in batches:
-            for *key, text in common.arrow_rows([batch], ["doc", "hash", "text"]):
-                found = _signed(_distinct(text))
-                if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(found), *(pa.array(np.full(len(found), k, dtype=np.int64)) for k in key)], schema=_SPANS)
-
-    return docs.mapInArrow(run, "span long, doc long, hash long")
+            for at in range(batch.num_rows):
+                doc_id, doc, text, code = (batch.column(c)[at].as_py() for c in ("doc_id", "doc", "text", "hash"))
+                parts = _parsed(text)
+                hashes, ends = spans(parts)
+                first = np.flatnonzero(ends > np.arange(len(ends)))
+                held.append((doc_id, doc, text, code, np.array([len(p[0]) for p in parts], dtype=np.int32), hashes[first], first * _SIZES + (ends[first] - first)))
+                chars += len(text)
+                if len(held) >= _ROWS or chars >= _CHARS:
+                    yield _parts_batch(held)
+                    held, chars = [], 0
+        if held:
+            yield _parts_batch(held)
+
+    return docs.mapInArrow(run, _PARTS_DDL)
+
+
+def _later_places(parts: DataFrame) -> DataFrame:
+    """row and place of all places of repeated spans but each span's first one, in the order (doc, hash, row, place)."""
+    found = parts.select("row", "doc", F.inline("spans"))
+    repeated = found.groupBy("span").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n")).filter("n > 1")
+    at = common.stored(common.join_unique(found, common.stored(repeated, "sentence-repeats"), ["span"], "n"), "sentence-places")
+    # Only a span that its first document has twice, or several rows of that id have, needs more than the id.
+    first = at.filter("doc = first_doc").select("span", "row", "place")
+    tied = common.stored(first.groupBy("span").agg(F.count("*").alias("n")).filter("n > 1"), "sentence-tied")
+    tied = common.join_unique(first, tied, ["span"], "n").drop("n").join(parts.select("row", "hash"), "row")
+    tied = common.stored(tied.select("span", F.struct("hash", "row", "place").alias("at")), "sentence-tied-places")
+    least = common.stored(tied.groupBy("span").agg(F.min("at").alias("least"), F.count("*").alias("n")), "sentence-tied-first")
+    again = common.join_unique(tied, least, ["span"], "n").filter("at > least").select("at.row", "at.place")
+    return at.filter("doc > first_doc").select("row", "place").unionByName(again)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -167,47 +231,49 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     first place of a span is the one in the first document, and in it the first; all others are removed. A null
     text is empty; an empty table gives no rows; other columns are ignored.
 
-    Hashes are counted with map-side combining, and the few spans with over a thousandth of all rows are looked up by
-    broadcast, so no span is hot in a shuffle. Texts without a repeated span are not shuffled.
+    Texts are cut once and stored with their spans. Spans are counted with map-side combining, and the few with over a
+    thousandth of all places are looked up by broadcast, so no span is hot in a shuffle; a row's places are as many as its own
+    sentences. Texts meet their places in one join by row.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), common.text_or_empty().alias("text"))
-    apart = common.ids_repeat(rows, "doc")
-    rows = rows.withColumn("hash", F.xxhash64("text") if apart else F.lit(0).cast("long"))
-    found = common.stored(_spans_of(rows.select("doc", "hash", "text")), "sentence-spans")
-    key, code = ["doc", "hash"], F.xxhash64("doc", "hash")
-    place = F.struct(*key) if apart else F.col("doc")
-    repeated = found.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
-    repeated = common.stored(repeated.filter("first < last").drop("last"), "sentence-repeats")
-    later = common.join_unique(found, repeated, ["span"], "n").filter(place > F.col("first"))
-    listed = F.collect_set if apart else F.collect_list  # copies of a row give its spans again
-    marked = common.stored(later.groupBy(*key).agg(listed("span").alias("spans")), "sentence-marks")
-    if apart:
-        copies = rows.groupBy(*key).count().filter("count > 1")
-        marked = marked.join(copies, key, "full").withColumn("n", F.coalesce("count", F.lit(1))).drop("count")
-        marked = common.stored(marked, "sentence-row-marks")
-    marks = common.IdFilter(marked.withColumn("code", code), "code")
-    rows = rows.withColumn("code", code).withColumn("maybe", marks.test("code"))
-    out = rows.filter("NOT maybe").select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("spans"), F.lit(False).alias("again"))
-    if apart:
-        touched = common.join_unique(rows.filter("maybe"), marked, key, "n", "left")
-        out = out.unionByName(common.copies_marked(touched.filter("n > 1"), key, "sentence-copies").select(*out.columns))
-        touched = touched.filter("n IS NULL OR n = 1")
-    else:
-        touched = rows.filter("maybe").join(marked, key, "left")
-    return _without(out.unionByName(touched.withColumn("again", F.lit(False)).select(*out.columns)))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), common.text_or_empty().alias("text")).withColumn("hash", F.xxhash64("text"))
+    parts = common.stored(_parted(rows).withColumn("row", F.monotonically_increasing_id()), "sentence-parts")
+    gone = _later_places(parts).groupBy("row").agg(F.collect_list("place").alias("places"))
+    return _without(parts.select("row", "doc_id", "text", "lengths").join(gone, "row", "left"))
+
+
+def under(n: int, places: np.ndarray) -> np.ndarray:
+    """Which of ``n`` sentences lie under a span at one of these places."""
+    edges = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edges, places // _SIZES, 1)
+    np.add.at(edges, places // _SIZES + places % _SIZES, -1)
+    return np.cumsum(edges[:-1]) > 0
 
 
 def _without(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("removed", pa.list_(pa.int32()))])
 
-    def clean(doc_id: int | None, text: str, marked: list[int] | None, again: bool) -> tuple:
-        parts = sentences(text)
-        gone = covered(parts, set(_distinct(text).tolist()) if again else {h % 2**64 for h in marked or ()})
-        kept = "".join(s for (s, _), g in zip(parts, gone, strict=True) if not g) if gone.any() else text
-        return doc_id, kept, len(parts), int(gone.sum()), np.flatnonzero(gone).tolist()
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column = {name: batch.column(name) for name in batch.schema.names}
+        touched = column["places"].is_valid().to_numpy(zero_copy_only=False)
+        texts, removed = [], [np.empty(0, dtype=np.int32)] * batch.num_rows
+        for at in np.flatnonzero(touched).tolist():
+            text, lengths, places = column["text"][at].as_py(), column["lengths"][at].values.to_numpy(), column["places"][at].values.to_numpy()
+            gone = under(len(lengths), places)
+            removed[at] = np.flatnonzero(gone).astype(np.int32)
+            ends = np.cumsum(lengths)
+            edges = np.flatnonzero(np.diff(gone, prepend=True, append=True)).tolist()  # kept runs
+            texts.append("".join(text[ends[a] - lengths[a] : ends[b - 1]] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+        text = pc.replace_with_mask(column["text"], pa.array(touched), pa.array(texts, type=pa.string())) if texts else column["text"]
+        n_removed = np.array([len(x) for x in removed], dtype=np.int64)
+        offsets, flat = _lists(removed)
+        sizes = pc.list_value_length(column["lengths"]).cast(pa.int64())
+        return pa.RecordBatch.from_arrays([column["doc_id"], text, sizes, pa.array(n_removed), pa.ListArray.from_arrays(offsets, pa.array(flat))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from common.arrow_batches((clean(*x) for x in common.arrow_rows(batches, ["doc_id", "text", "spans", "again"])), schema, 500)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                yield clean(batch.slice(at, _ROWS))
 
     return rows.mapInArrow(run, "doc_id long, text string, n_sentences long, n_removed long, removed array<int>")
 
