@@ -18,6 +18,8 @@ from tallywatch.session import scratch_path
 HOT_SHARE = 1000
 #: Rows of metadata (not texts) that one task handles at a time.
 ROWS_PER_BLOCK = 500_000
+#: Rows of an Arrow batch that are Python values at the same time.
+ROWS_AT_ONCE = 256
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,9 +91,10 @@ def numbered(rows: DataFrame, key: str) -> DataFrame:
 
 
 def arrow_rows(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
-    """The rows of Arrow batches as Python values; nulls are None and integers stay whole."""
+    """The rows of Arrow batches as Python values; nulls are None and integers stay whole. Few rows are held as such at a time."""
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield from zip(*(batch.column(c).slice(at, ROWS_AT_ONCE).to_pylist() for c in columns), strict=True)
 
 
 def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:

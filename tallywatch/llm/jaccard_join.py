@@ -278,17 +278,18 @@ def grouped(docs: DataFrame, width: int = 5, part: int = 4, of: int = 5) -> Data
     """
     rule = Rule(width, part, of)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    schema = pa.schema([("n_shingles", pa.int64()), ("sid", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64())])
 
-    @F.pandas_udf("n_shingles long, sid long")
-    def size(text):
-        import pandas as pd
+    def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sized() -> Iterator[tuple]:
+            for doc_id, code, text in common.arrow_rows(batches, ["doc_id", "text_hash", "text"]):
+                tokens = tokens_of(text, width)  # of one text at a time
+                yield doc_id, code, len(tokens), set_id(tokens)
 
-        made = [tokens_of(t, width) for t in text]
-        return pd.DataFrame({"n_shingles": [len(m) for m in made], "sid": [set_id(m) for m in made]}, columns=schema.names)
+        yield from common.arrow_batches(sized(), schema)
 
-    sized = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), size("text").alias("set"))
-    sets = common.stored(sized.select("doc_id", "text_hash", "set.n_shingles", "set.sid"), "jaccard-sets")
+    sized = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(size, "doc_id long, text_hash long, n_shingles long, sid long")
+    sets = common.stored(sized, "jaccard-sets")
     some = sets.filter("n_shingles > 0")
     first = common.stored(some.groupBy("sid").agg(F.min("doc_id").alias("doc"), F.count("*").alias("n")), "jaccard-first")
     found = common.components(links(rows, first.select("sid", "doc"), rule)).select(F.col("node").alias("sid"), "root")
