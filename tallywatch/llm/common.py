@@ -59,10 +59,6 @@ def join_unique(left: DataFrame, right: DataFrame, keys: list[str], count: str,
     return at_hot.unionByName(at_cold)
 
 
-def ids_repeat(rows: DataFrame, column: str) -> bool:
-    return rows.groupBy(column).count().filter("count > 1").limit(1).count() > 0
-
-
 def copies_marked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """``rows`` with ``again``: false for one row of each key, true for its other rows. Rows are numbered in a stored table."""
     held = stored(rows.withColumn("_row", F.monotonically_increasing_id()), name)
