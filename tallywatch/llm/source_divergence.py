@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,20 +34,54 @@ SEPARATOR = "\x00"
 _MARK = "\x00\x00"
 
 
-_TERM = re.compile(TERM)
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+# In UTF-8 a character from U+0080 on has no byte below 0x80, so bytes are cut as characters would be.
+_BETWEEN = bytes(b for b in range(128) if not re.match(TERM, chr(b)))
+_CUT = bytes.maketrans(_BETWEEN + string.ascii_uppercase.encode(), b" " * len(_BETWEEN) + string.ascii_lowercase.encode())
+#: Terms of an Arrow batch, beyond those of one text, and distinct terms that a task remembers having sent.
+TERMS_PER_BATCH, TERMS_SEEN = 200_000, 300_000
+
+
+def terms_of(text: bytes) -> list[bytes]:
+    """The terms of a text, both in UTF-8."""
+    return text.translate(_CUT).split()
+
+
+def _listed(of_rows: list[list[bytes]]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in of_rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(of_rows)), type=pa.binary()).view(pa.string()))
 
 
 def worded(docs: DataFrame) -> DataFrame:
-    """lang, source ('' for null) and the terms of each document, each with its language before it."""
+    """lang, source ('' for null), the terms of each document, each with its language before it, and those ``new`` to its task:
+    every term is new somewhere."""
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("terms", pa.list_(pa.string()))])
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("terms", pa.list_(pa.string())), ("new", pa.list_(pa.string()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = common.arrow_rows(batches, ["lang", "source", "text"])
-        yield from common.arrow_batches(((lang, source, list(map(f"{lang}{SEPARATOR}".__add__, _TERM.findall(text.translate(_LOWER))))) for lang, source, text in rows), schema, 500)
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        langs, sources, terms, new = zip(*held, strict=True)
+        names = [pa.array(x, type=pa.binary()).view(pa.string()) for x in (langs, sources)]
+        return pa.RecordBatch.from_arrays([*names, _listed(terms), _listed(new)], schema=schema)
 
-    return docs.select(lang, source, common.text_or_empty().alias("text")).mapInArrow(run, "lang string, source string, terms array<string>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        held: list[tuple] = []
+        n = 0
+        as_bytes = (pa.RecordBatch.from_arrays([b.column(c).cast(pa.binary()) for c in ("lang", "source", "text")], ["lang", "source", "text"]) for b in batches)
+        for lang, source, text in common.arrow_rows(as_bytes, ["lang", "source", "text"]):
+            terms = list(map((lang + SEPARATOR.encode()).__add__, terms_of(text)))
+            new = set(terms) - seen
+            if len(seen) + len(new) > TERMS_SEEN:
+                seen.clear()
+            seen |= new
+            held.append((lang, source, terms, list(new)))
+            n += len(terms) + 1
+            if n >= TERMS_PER_BATCH:
+                yield batch(held)
+                held, n = [], 0
+        if held:
+            yield batch(held)
+
+    return docs.select(lang, source, common.text_or_empty().alias("text")).mapInArrow(run, "lang string, source string, terms array<string>, new array<string>")
 
 
 def _sums_by_model(docs: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +145,7 @@ def audited(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_
     rows and ids are documents of their own; an empty table gives no rows; other columns are ignored.
     """
     docs = common.stored(worded(docs), "divergence-words")
-    distinct_terms = docs.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
+    distinct_terms = docs.select(F.explode("new").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
     vocabulary, sums = (_sums_by_model if distinct_terms <= model_terms else _sums_by_rows)(docs, least_docs)
     sums = common.stored(sums, "divergence-sums")
     vocabulary = common.stored(vocabulary, "divergence-items")
