@@ -96,6 +96,10 @@ class MonitorConfig:
     def ledger(self) -> str:
         return f"{self.data_dir}/tx_store"
 
+    @property
+    def ids(self) -> str:
+        return f"{self.data_dir}/ids"
+
     @property
     def state(self) -> str:
         return f"{self.data_dir}/state"

@@ -61,12 +61,17 @@ def scan(
     *,
     since: datetime | Column | None = None,
     up_to_batch: int | None = None,
+    after_batch: int | None = None,
 ) -> DataFrame:
-    """The ledger, optionally from an event time on; the bound also prunes day partitions."""
+    """The ledger, optionally from an event time on or after a batch; both bounds also prune segments and days."""
     listed = entries(spark, path, up_to_batch)
+    if after_batch is not None:
+        listed = listed.filter(F.col("last_batch") > after_batch)
     if isinstance(since, datetime):
         listed = listed.filter(F.col("max_ts") >= F.lit(utc(since)))
     tx = _read(spark, path, listed)
+    if after_batch is not None:
+        tx = tx.filter(F.col("batch_id") > after_batch)
     return tx if since is None else from_time(tx, since)
 
 

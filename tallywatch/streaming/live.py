@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tallywatch.functions.scalars import before, utc
 from tallywatch.operators.dedup import dedup_tx, seen_ids, without
-from tallywatch.sources import folding, storage
+from tallywatch.sources import folding, id_index, storage
 
 SERIES = "tier string, start timestamp, tx_count bigint"
 TIERS = ("second", "minute", "hour")
@@ -22,35 +21,35 @@ def _when(available_now: bool, trigger: str) -> dict:
     return {"availableNow": True} if available_now else {"processingTime": trigger}
 
 
-def _each_batch(
-    tx: DataFrame, work: Callable[[DataFrame, int], DataFrame], path: str, checkpoint: str, available_now: bool, trigger: str
-) -> StreamingQuery:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        work(batch, batch_id).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return (
-        tx.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(**_when(available_now, trigger)).start()
-    )
-
-
 def write_first_deliveries(
-    tx: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds"
+    tx: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger: str = "5 seconds", compact_every: int = 20
 ) -> StreamingQuery:
     """One row per ``tx_id`` over the whole life of the stream, however late it comes.
 
-    The written table is the memory: a batch reads the id column of earlier batches, and keeps no state.
+    The written table is the memory; an id index beside it (``_ids``, which readers of the table skip) tells a batch which of
+    its ids the table has, from the buckets that can hold them. Every ``compact_every`` batches the index is merged.
     """
     schema = StructType.fromJson(tx.schema.jsonValue()).add("batch_id", "long")
+    ids = f"{path}/_ids"
+
+    def first(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            once = dedup_tx(batch)
+            if storage.exists(spark, path):
+                earlier = spark.read.schema(schema).parquet(path).filter((F.col("batch_id") > id_index.last_batch(spark, ids)) & (F.col("batch_id") < batch_id))
+                id_index.add(earlier, ids, batch_id - 1)
+                once = without(once, seen_ids(batch, id_index.candidates(batch, ids)))
+            once.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            id_index.compact(spark, ids, batch_id, every=compact_every)
+        finally:
+            batch.unpersist()
 
-    def first(batch: DataFrame, batch_id: int) -> DataFrame:
-        once = dedup_tx(batch)
-        if not storage.exists(batch.sparkSession, path):
-            return once
-        earlier = batch.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch_id") < batch_id)
-        return without(once, seen_ids(batch, earlier))
-
-    return _each_batch(tx, first, path, checkpoint, available_now, trigger)
+    return (
+        tx.writeStream.foreachBatch(first).option("checkpointLocation", checkpoint)
+        .trigger(**_when(available_now, trigger)).start()
+    )
 
 
 def write_seconds(

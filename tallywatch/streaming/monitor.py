@@ -14,7 +14,7 @@ from tallywatch.operators.dedup import dedup_tx, seen_ids, without
 from tallywatch.plans.activity import recent_tx
 from tallywatch.plans.metrics import user_metrics
 from tallywatch.schema import MonitorConfig
-from tallywatch.sources import folding, ledger, snapshots, storage
+from tallywatch.sources import folding, id_index, ledger, snapshots, storage
 from tallywatch.sources.messages import decode, read_kafka_stream
 from tallywatch.streaming import state
 
@@ -103,6 +103,8 @@ def _tidy(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: date
     if config.incremental:
         state.compact(spark, config, batch_id, as_of)
     ledger.compact(spark, config.ledger, batch_id, every=config.compact_every)
+    if config.dedup:
+        id_index.compact(spark, config.ids, batch_id, every=config.compact_every)
     recent_log = F.col("v") > batch_id - config.keep_log
     folding.fold(spark, config.batch_log, LOG, batch_id, lambda rows: rows.filter(recent_log), config.compact_every)
     for root in (config.user_metrics, config.recent_tx):
@@ -112,11 +114,14 @@ def _tidy(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: date
 def _repeats(spark: SparkSession, config: MonitorConfig, tx: DataFrame, batch_id: int) -> DataFrame | None:
     """The batch's ids that an earlier batch delivered, under whatever day.
 
-    Looking only at earlier batches keeps a replay of this batch stable.
+    The id index first takes in what finished batches have put into the ledger since. Looking only at earlier batches keeps a
+    replay of this batch stable.
     """
     if not storage.exists(spark, config.ledger):
         return None
-    return seen_ids(tx, ledger.scan(spark, config.ledger, up_to_batch=batch_id - 1))
+    indexed = id_index.last_batch(spark, config.ids)
+    id_index.add(ledger.scan(spark, config.ledger, after_batch=indexed, up_to_batch=batch_id - 1), config.ids, batch_id - 1)
+    return seen_ids(tx, id_index.candidates(tx, config.ids))
 
 
 def _recent(spark: SparkSession, config: MonitorConfig, batch_id: int, as_of: datetime) -> DataFrame:
