@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm import common
@@ -91,15 +91,36 @@ def _lines(docs: DataFrame, least_chars: int, near_chars: int) -> DataFrame:
     return _map(docs, emit, schema, "line binary, doc long, hash long, at long, times long, halves array<bigint>", 10_000)
 
 
-def _texts(docs: DataFrame, near_chars: int) -> DataFrame:
-    """doc, hash, at and text of each line that can be near another."""
-    def emit(doc: int, text_hash: int, text: str) -> Iterator[tuple]:
-        for at, (_, alike) in enumerate(lines_of(text, near_chars)):
-            if alike:
-                yield doc, text_hash, at, alike
+def _place() -> Column:
+    """64 bits that stand for a line at its place."""
+    head = F.expr("cast(conv(hex(substring(line, 1, 8)), 16, -10) AS long)")
+    return head.bitwiseXOR(F.xxhash64("doc", "hash")).bitwiseXOR(F.col("at"))
 
+
+def _texts(docs: DataFrame, near_chars: int, wanted: common.IdFilter) -> DataFrame:
+    """doc, hash, at and text of each line that can be near another, if its place may be among the wanted ones."""
     schema = pa.schema([("doc", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("alike", pa.string())])
-    return _map(docs, emit, schema, "doc long, hash long, at long, alike string", 2_000)
+    test = wanted.local_tests()
+
+    def kept(held: list[tuple]) -> Iterator[tuple]:
+        heads = np.frombuffer(b"".join(line_hash(row[3])[:8] for row in held), dtype=">i8").astype(np.int64)
+        places = heads ^ np.array([row[4] for row in held], dtype=np.int64) ^ np.array([row[2] for row in held], dtype=np.int64)
+        return (held[i][:4] for i in np.flatnonzero(test(places)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            held: list[tuple] = []
+            for doc, text_hash, own, text in common.arrow_rows(batches, ["doc", "hash", "own", "text"]):
+                held.extend((doc, text_hash, at, alike, own) for at, (_, alike) in enumerate(lines_of(text, near_chars)) if alike)
+                if len(held) >= 2_000:
+                    yield from kept(held)
+                    held = []
+            if held:
+                yield from kept(held)
+
+        yield from common.arrow_batches(rows(), schema, 2_000)
+
+    return docs.select("doc", "hash", F.xxhash64("doc", "hash").alias("own"), "text").mapInArrow(run, "doc long, hash long, at long, alike string")
 
 
 def _emitted(candidates: DataFrame) -> DataFrame:
@@ -149,8 +170,9 @@ def near_lines(docs: DataFrame, nodes: DataFrame, near_chars: int = NEAR_CHARS)
     near = common.join_unique(halves, shared, ["half"], "n").groupBy("line").agg(F.max(F.col("side") == 0).alias("head"), F.max(F.col("side") == 1).alias("tail"))
     wanted = common.stored(nodes.select("line", "doc", "hash", "at").join(near, "line"), "line-candidates")
     places = ["doc", "hash", "at"]
-    there = common.stored(wanted.select(*places), "line-places")  # narrow, so that Spark need not shuffle the lines while it is small
-    found = _texts(docs, near_chars).join(there, places, "left_semi").join(wanted, places).dropDuplicates(["line"])  # equal rows have the same line there
+    # Lines that can't be at one of the places are not sent anywhere, however many places there are; the join decides.
+    at_places = common.IdFilter(wanted.select(_place().alias("place")), "place")
+    found = _texts(docs, near_chars, at_places).join(wanted, places).dropDuplicates(["line"])  # equal rows have the same line there
     texts = common.stored(found.withColumn("id", F.monotonically_increasing_id()), "line-texts")
     two = _emitted(texts).groupBy("variant").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("variant")
     met = common.stored(two, "line-met")
@@ -203,38 +225,43 @@ def deduplicated(docs: DataFrame, least_chars: int = LEAST_CHARS, near_chars: in
     marked = gone.select("line", *key, "near").unionByName(repeated).groupBy(*key).agg(F.collect_set("line").alias("gone"), F.collect_set(F.when(F.col("near"), F.col("line"))).alias("near"))
     copies = rows.groupBy(*key).count().filter("count > 1")
     marked = common.stored(marked.join(copies, key, "full").withColumn("n", F.coalesce("count", F.lit(1))).drop("count"), "line-marks")
-    found = common.stored(marked.select(*key), "line-touched")  # narrow: while it is small, texts are not shuffled to find those that stay
-    none = F.lit(0).cast("long")
-    untouched = rows.join(found, key, "left_anti").select("own", "text", F.size(F.split(common.text_or_empty(), "\n")).cast("long").alias("n_lines"), none.alias("n_removed"), none.alias("n_near"))
-    touched = common.join_unique(rows.join(found, key, "left_semi"), marked, key, "n")
-    single = touched.filter("n = 1").withColumn("again", F.lit(False))
-    several = common.copies_marked(touched.filter("n > 1"), key, "line-copies").select(*single.columns)
-    out = untouched.unionByName(_without(single.unionByName(several), least_chars))
+    single = common.join_unique(rows, marked, key, "n", "left").filter("n IS NULL OR n = 1").withColumn("again", F.lit(False))
+    copied = common.stored(marked.filter("n > 1"), "line-copied-marks")  # mostly empty, and then no text is shuffled for it
+    several = common.copies_marked(common.join_unique(rows, copied, key, "n"), key, "line-copies").select(*single.columns)
+    out = _without(single.unionByName(several), least_chars)
     made = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
     return out.select(*(made.get(c, F.col("own").getField(c)).alias(c) for c in docs.columns), "n_lines", "n_removed", "n_near")
 
 
 def _without(rows: DataFrame, least_chars: int) -> DataFrame:
-    """The rows' texts without the lines that are gone; ``again``: an equal row before this one has had all its lines."""
-    @F.pandas_udf("text string, n_lines long, n_removed long, n_near long")
-    def clean(text, gone, near, again):
-        import pandas as pd
-
-        out = []
-        for t, g, m, a in zip(text, gone, near, again, strict=True):
-            g, m = set(() if g is None else map(bytes, g)), set(() if m is None else map(bytes, m))
-            lines, kept, seen, n_near = lines_of(t, least_chars), [], set(), 0
-            for line, alike in lines:
-                h = line_hash(alike) if alike else None
-                if alike and (a or h in g or h in seen):
-                    n_near += h in m
-                    continue
-                seen.add(h)
-                kept.append(line)
-            out.append((None if t is None else "\n".join(kept), len(lines), len(lines) - len(kept), n_near))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_removed", "n_near"])
-
-    return rows.select("own", clean("text", "gone", "near", "again").alias("clean")).select("own", "clean.text", "clean.n_lines", "clean.n_removed", "clean.n_near")
+    """The rows' texts without the lines that are gone, none of them if ``gone`` is null; ``again``: an equal row before this
+    one has had all its lines."""
+    schema = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64()), ("n_near", pa.int64())])
+
+    def cleaned(t: str | None, g: list[bytes] | None, m: list[bytes] | None, a: bool) -> tuple:
+        if g is None and not a:
+            return t, (t or "").count("\n") + 1, 0, 0
+        gone, near = set(g or ()), set(m or ())
+        lines, kept, seen, n_near = lines_of(t, least_chars), [], set(), 0
+        for line, alike in lines:
+            h = line_hash(alike) if alike else None
+            if alike and (a or h in gone or h in seen):
+                n_near += h in near
+                continue
+            seen.add(h)
+            kept.append(line)
+        return None if t is None else "\n".join(kept), len(lines), len(lines) - len(kept), n_near
+
+    # Few rows are Python values at a time. Nondeterministic for Spark, so that a filter on its columns is not computed by a second call.
+    @F.arrow_udf("text string, n_lines long, n_removed long, n_near long")
+    def clean(text: pa.Array, gone: pa.Array, near: pa.Array, again: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text, gone, near, again], ["text", "gone", "near", "again"])
+        out = (cleaned(*row) for row in common.arrow_rows([batch], ["text", "gone", "near", "again"]))
+        parts = [b.to_struct_array() for b in common.arrow_batches(out, pa.schema(list(schema)), common.ROWS_AT_ONCE)]
+        return pa.concat_arrays([p.cast(schema) for p in parts]) if parts else pa.array([], type=schema)
+
+    held = rows.select("own", clean.asNondeterministic()("text", "gone", "near", "again").alias("clean"))
+    return held.select("own", "clean.text", "clean.n_lines", "clean.n_removed", "clean.n_near")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

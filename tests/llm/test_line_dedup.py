@@ -92,3 +92,18 @@ def test_each_row_is_a_document(docs):
     assert sorted(x for x in left if not x.startswith("this line")) == sorted({x for _, t in rows if t for x in t.split("\n") if not x.startswith("this line")})
     assert sum(x in (shared, near) for x in left) == 1
     assert got.filter("doc_id IS NULL AND text IS NULL").count() == 1
+
+
+def test_lines_that_no_other_can_be_near_are_not_sent(docs):
+    rng = random.Random(7)
+    lines = ["".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(2000)]
+    texts = docs(*((i, "\n".join(lines[5 * i : 5 * i + 5])) for i in range(400))).selectExpr("doc_id AS doc", "xxhash64(text) AS hash", "text")
+    wanted = ld._lines(texts, ld.LEAST_CHARS, ld.NEAR_CHARS).filter("doc = 7 AND at = 2")
+    sent = ld._texts(texts, ld.NEAR_CHARS, ld.common.IdFilter(wanted.select(ld._place().alias("place")), "place")).collect()
+    assert lines[37] in [r.alike for r in sent] and len(sent) < 20
+
+
+def test_a_filter_on_what_was_removed_does_not_clean_texts_again(docs):
+    out = ld.deduplicated(docs((1, "one line of text that repeats\nx"), (2, "one line of text that repeats"))).filter("n_removed = 0 OR length(text) > 0")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r.doc_id, r.text, r.n_removed) for r in out.collect()] == [(1, "one line of text that repeats\nx", 0)]
