@@ -104,3 +104,29 @@ def test_repeated_and_null_ids_stand_apart_and_are_dealt(spark, docs, odd):
 @given(st.lists(st.binary(max_size=40), max_size=6))
 def test_joined_checksums(pieces):
     assert token_files.crc32_joined((zlib.crc32(p), len(p)) for p in pieces) == zlib.crc32(b"".join(pieces))
+
+
+def test_words_of_letters_and_marks_cost_no_call_for_a_text():
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.model, self.pre_tokenizer, self.calls = inner, inner.model, inner.pre_tokenizer, 0
+
+        def encode(self, *args, **options):
+            self.calls += 1
+            return self.inner.encode(*args, **options)
+
+    tokenizer = Counting(Tokenizer.from_file(FILE))
+    words = token_files._Words(tokenizer, by_word=True)
+    text = "The theand\netémentouier, ÀÖØ öß÷ heouor$$$ Straße. ontiinha!? " + " ".join(map(chr, range(0xC0, 0x100)))
+    ids = words.of_text(text.replace("\u00d7", "").replace("\u00f7", "")).tolist()
+    assert tokenizer.calls <= 1  # for the empty parts
+    assert [*ids, 1] == own_ids(text.replace("\u00d7", "").replace("\u00f7", ""))
+
+
+def test_few_words_remembered_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr(token_files, "WORDS_HELD", 6)
+    monkeypatch.setattr(token_files, "BARE_HELD", 3)
+    text = " ".join(f"w{'abcdefg'[i % 7]} the, und {'xyz'[i % 3]}é." for i in range(50))
+    words = token_files._Words(Tokenizer.from_file(FILE), by_word=True)
+    assert [*words.of_text(text).tolist(), 1] == own_ids(text)
+    assert len(words) <= 6
