@@ -116,6 +116,10 @@ class MonitorConfig:
     def batch_log(self) -> str:
         return f"{self.data_dir}/output/batch_log"
 
+    @property
+    def progress(self) -> str:
+        return f"{self.data_dir}/progress"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.data_dir}/checkpoints/monitor"

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywatch.sources import snapshots, storage
 
 
+def delta_path(root: str, batch_id: int) -> str:
+    return snapshots.version_path(f"{root}/delta", batch_id)
+
+
 def add(rows: DataFrame, root: str, batch_id: int) -> None:
     """Publish the delta of a batch; again for the same batch, it replaces it."""
     snapshots.publish(rows, f"{root}/delta", batch_id, files=1)

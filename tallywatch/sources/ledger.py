@@ -50,6 +50,11 @@ def append(tx: DataFrame, path: str, batch_id: int) -> None:
     folding.add(entries.select(F.lit(seg).alias("seg"), "dt", "tx_rows", "min_ts", "max_ts", F.lit(batch_id).cast("bigint").alias("last_batch")), _manifest(path), batch_id)
 
 
+def entry_path(path: str, batch_id: int) -> str:
+    """The manifest's part that lists a batch; it is written last."""
+    return folding.delta_path(_manifest(path), batch_id)
+
+
 def entries(spark: SparkSession, path: str, up_to_batch: int | None = None) -> DataFrame:
     """The manifest: a row per segment and day."""
     return folding.read(spark, _manifest(path), ENTRY, up_to_batch)

@@ -23,3 +23,26 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete_tree(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop_path(spark, path)
     fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file, whole or not there: it is written beside its place and renamed."""
+    fs, p = _hadoop_path(spark, path)
+    beside = p.suffix(".part")
+    out = fs.create(beside, True)
+    out.writeUTF(text)
+    out.close()
+    if not fs.rename(beside, p):
+        raise OSError(f"could not rename to {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What ``write_text`` has written, or None."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    held = fs.open(p)
+    try:
+        return held.readUTF()
+    finally:
+        held.close()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +17,7 @@ from tallywatch.schema import MonitorConfig
 from tallywatch.sources import folding, id_index, ledger, snapshots, storage
 from tallywatch.sources.messages import decode, read_kafka_stream
 from tallywatch.streaming import state
+from tallywatch.streaming.progress import Progress
 
 LOG = "v bigint, batch_rows bigint, rejected_rows bigint, late_rows bigint, tracked_users bigint"
 
@@ -46,53 +47,82 @@ def start_monitor(
     )
 
 
-def observed(decoded: DataFrame, watch: Observation, as_of: datetime, late_after_seconds: int) -> DataFrame:
-    """Count rows, rejected rows and late rows of whatever action reads the result; no job of its own."""
+def _counts(as_of: datetime, late_after_seconds: int) -> list[Column]:
     late = parse_event_time("date") < before(F.lit(utc(as_of)), late_after_seconds)
-    return decoded.observe(
-        watch,
+    return [
         F.count(F.lit(1)).alias("batch_rows"),
         F.count(F.when(~is_valid(), 1)).alias("rejected_rows"),
         F.count(F.when(is_valid() & late, 1)).alias("late_rows"),
-    )
+    ]
+
+
+def observed(decoded: DataFrame, watch: Observation, as_of: datetime, late_after_seconds: int) -> DataFrame:
+    """Count rows, rejected rows and late rows of whatever action reads the result; no job of its own."""
+    return decoded.observe(watch, *_counts(as_of, late_after_seconds))
 
 
 def process_batch(spark: SparkSession, config: MonitorConfig, batch: DataFrame, batch_id: int) -> None:
-    """One micro-batch. Running it again with the same id leaves every table as it was."""
+    """One micro-batch. Running it again with the same id leaves every table as it was.
+
+    A batch that failed goes on behind the writes that it had finished. What depends on the clock is made anew if
+    that has moved.
+    """
     decoded = decode(batch).persist()
     try:
         if decoded.isEmpty():
             return
         as_of = utc(config.clock() if config.clock else datetime.now(timezone.utc))
-        watch = Observation("batch")
-        incoming = clean(observed(decoded, watch, as_of, config.late_after_seconds))
-        if config.dedup:
-            repeats = _repeats(spark, config, clean(decoded), batch_id)
-            once = dedup_tx(incoming)
-            ledger.append(once if repeats is None else without(once, repeats), config.ledger, batch_id)
-            added = ledger.scan(spark, config.ledger, up_to_batch=batch_id).filter(F.col("batch_id") == batch_id)
-        else:
+        moment = as_of.isoformat()
+        progress = Progress(spark, config.progress, batch_id, {"incremental": config.incremental, "dedup": config.dedup}, config.after_write)
+
+        def write_ledger() -> dict:
+            watch = Observation("batch")
+            incoming = clean(observed(decoded, watch, as_of, config.late_after_seconds))
+            if config.dedup:
+                repeats = _repeats(spark, config, clean(decoded), batch_id)
+                incoming = dedup_tx(incoming)
+                incoming = incoming if repeats is None else without(incoming, repeats)
             ledger.append(incoming, config.ledger, batch_id)
+            return {"as_of": moment, "late_after": config.late_after_seconds, **watch.get}
+
+        counts = progress.once("ledger", ledger.entry_path(config.ledger, batch_id), write_ledger)
+        if (counts["as_of"], counts["late_after"]) != (moment, config.late_after_seconds):
+            counts = decoded.agg(*_counts(as_of, config.late_after_seconds)).first().asDict()
+
+        def write_state() -> None:
             added = clean(decoded)
-        wrote = config.after_write or (lambda table: None)
-        wrote("ledger")
+            if config.dedup or progress.resumed:
+                added = ledger.scan(spark, config.ledger, up_to_batch=batch_id).filter(F.col("batch_id") == batch_id)
+            state.add_batch(added, config, batch_id)
 
         if config.incremental:
-            state.add_batch(added, config, batch_id)
-            wrote("state")
-            metrics = state.metrics(spark, config, batch_id, as_of)
-        else:
-            metrics = user_metrics(ledger.scan(spark, config.ledger, up_to_batch=batch_id), as_of)
-        users = Observation("users")
-        metrics = metrics.observe(users, F.count(F.lit(1)).alias("tracked_users"))
-        snapshots.publish(metrics, config.user_metrics, batch_id, config.output_files)
-        wrote("user_metrics")
-        snapshots.publish(_recent(spark, config, batch_id, as_of), config.recent_tx, batch_id, config.output_files)
-        wrote("recent_tx")
-        counts = {"v": batch_id, **watch.get, **users.get}
-        log = spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
-        folding.add(log, config.batch_log, batch_id)
-        wrote("batch_log")
+            progress.once("state", state.entry_path(config, batch_id), write_state)
+
+        def write_metrics() -> dict:
+            if config.incremental:
+                metrics = state.metrics(spark, config, batch_id, as_of)
+            else:
+                metrics = user_metrics(ledger.scan(spark, config.ledger, up_to_batch=batch_id), as_of)
+            users = Observation("users")
+            metrics = metrics.observe(users, F.count(F.lit(1)).alias("tracked_users"))
+            snapshots.publish(metrics, config.user_metrics, batch_id, config.output_files)
+            return users.get
+
+        made = {"as_of": moment, "files": config.output_files}
+        users = progress.once("user_metrics", snapshots.version_path(config.user_metrics, batch_id), write_metrics, **made)
+
+        def write_recent() -> None:
+            snapshots.publish(_recent(spark, config, batch_id, as_of), config.recent_tx, batch_id, config.output_files)
+
+        progress.once("recent_tx", snapshots.version_path(config.recent_tx, batch_id), write_recent, recent=config.recent_seconds, **made)
+
+        def write_log() -> None:
+            said = {"v": batch_id, **{n: counts[n] for n in ("batch_rows", "rejected_rows", "late_rows")}, **users}
+            log = spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in said.items()])
+            folding.add(log, config.batch_log, batch_id)
+
+        progress.once("batch_log", folding.delta_path(config.batch_log, batch_id), write_log, late_after=config.late_after_seconds, **made)
+        progress.forget_older()
         _tidy(spark, config, batch_id, as_of)
     finally:
         decoded.unpersist()

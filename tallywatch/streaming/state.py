@@ -98,6 +98,11 @@ def add_batch(tx: DataFrame, config: MonitorConfig, batch_id: int) -> None:
     snapshots.publish(user_bank(tx), _delta(config, "banks"), batch_id)
 
 
+def entry_path(config: MonitorConfig, batch_id: int) -> str:
+    """The delta that a batch writes last."""
+    return snapshots.version_path(_delta(config, "banks"), batch_id)
+
+
 def _pair_delta(spark: SparkSession, config: MonitorConfig, tx: DataFrame, batch_id: int) -> DataFrame:
     """The batch's pairs with their last time, now and before this batch.
 

@@ -133,3 +133,39 @@ def test_ledger_without_checkpoint_is_refused(spark, make_tx):
     feed(fixtures.message_lines(tx, False), config, 1)
     with pytest.raises(RuntimeError):
         run(spark, config)
+
+
+def test_failed_batch_goes_on_behind_its_finished_writes(spark, make_tx, monkeypatch):
+    made = []
+    for module, name in ((ledger, "append"), (monitor.state, "add_batch"), (monitor, "_recent"), (monitor.state, "metrics")):
+        def counted(*args, _own=getattr(module, name), _name=name, **more):
+            made.append(_name)
+            return _own(*args, **more)
+
+        monkeypatch.setattr(module, name, counted)
+    left = ["ledger", "state", "user_metrics", "recent_tx", "batch_log"]
+
+    def fail_once(table):
+        if table in left:
+            left.remove(table)
+            raise RuntimeError("planned")
+
+    moment = at("2024-01-02T00:00:00")
+    config = config_for(spark, clock=lambda: moment, after_write=fail_once)
+    lines = fixtures.message_lines(make_tx(("a", "b", 1.0, "2024-01-01T23:59:00"), ("a", "c", 2.0, "2024-01-01T11:00:00")))
+    for _ in range(5):
+        with pytest.raises(RuntimeError):
+            monitor.process_batch(spark, config, lines, 0)
+    monitor.process_batch(spark, config, lines, 0)
+    assert sorted(made) == ["_recent", "add_batch", "append", "metrics"]
+    log = monitor.read_batch_log(spark, config).collect()
+    assert [(r.v, r.batch_rows, r.rejected_rows, r.late_rows, r.tracked_users) for r in log] == [(0, 8, 4, 1, 5)]
+    assert rows(snapshots.read_latest(spark, config.user_metrics)) == rows(metrics.user_metrics(ledger.scan(spark, config.ledger), moment))
+    moment = at("2024-01-02T02:00:00")  # the clock has moved: what it decides is made anew, the ledger and the state are not
+    monitor.process_batch(spark, config, lines, 0)
+    assert sorted(made) == ["_recent", "_recent", "add_batch", "append", "metrics", "metrics"]
+    assert rows(snapshots.read_latest(spark, config.user_metrics)) == rows(metrics.user_metrics(ledger.scan(spark, config.ledger), moment))
+    assert monitor.read_batch_log(spark, config).first().late_rows == 2
+    monitor.storage.delete_tree(spark, ledger.entry_path(config.ledger, 0))  # a table that is gone is made anew, with all after it
+    monitor.process_batch(spark, config, lines, 0)
+    assert sorted(made[-4:]) == ["_recent", "add_batch", "append", "metrics"]
