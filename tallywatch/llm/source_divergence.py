@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -37,8 +38,8 @@ _MARK = "\x00\x00"
 # In UTF-8 a character from U+0080 on has no byte below 0x80, so bytes are cut as characters would be.
 _BETWEEN = bytes(b for b in range(128) if not re.match(TERM, chr(b)))
 _CUT = bytes.maketrans(_BETWEEN + string.ascii_uppercase.encode(), b" " * len(_BETWEEN) + string.ascii_lowercase.encode())
-#: Terms of an Arrow batch, beyond those of one text, and distinct terms that a task remembers having sent.
-TERMS_PER_BATCH, TERMS_SEEN = 200_000, 300_000
+#: Terms of an Arrow batch, and distinct terms that a task counts before it sends what it has.
+TERMS_PER_BATCH, TERMS_HELD = 200_000, 300_000
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -51,63 +52,114 @@ def _listed(of_rows: list[list[bytes]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(of_rows)), type=pa.binary()).view(pa.string()))
 
 
-def worded(docs: DataFrame) -> DataFrame:
-    """lang, source ('' for null), the terms of each document, each with its language before it, and those ``new`` to its task:
-    every term is new somewhere."""
+def _by_digit(counts: Counter) -> Iterator[tuple[int, list[bytes]]]:
+    """(2^k, the terms whose count has that binary digit): the sum over all is the counts."""
+    values = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+    terms = np.array(list(counts), dtype=object)
+    for k in range(int(values.max(initial=0)).bit_length()):
+        yield 1 << k, terms[values >> k & 1 == 1].tolist()
+
+
+def worded(docs: DataFrame, least_docs: int) -> DataFrame:
+    """What a vocabulary and sums need of the documents' terms, each with its language before it: lang, source ('' for null),
+    weight, terms (distinct in a row).
+
+    Rows of weight 1, 2, 4, ... of a group (lang, source) add up to its counts. Rows of weight 0 stand for documents: in each piece of
+    work, a term is in as many of them as in documents of its language, up to ``least_docs``, so that it is in ``least_docs``
+    of all these rows exactly if it is in so many documents. The first of them has every term of the piece: its weight is -1.
+    Rows are dealt and sorted by group, and a group of any size is dealt over tasks; each group has a row.
+    """
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("terms", pa.list_(pa.string())), ("new", pa.list_(pa.string()))])
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("weight", pa.int64()), ("terms", pa.list_(pa.string()))])
 
     def batch(held: list[tuple]) -> pa.RecordBatch:
-        langs, sources, terms, new = zip(*held, strict=True)
+        langs, sources, weights, terms = zip(*held, strict=True)
         names = [pa.array(x, type=pa.binary()).view(pa.string()) for x in (langs, sources)]
-        return pa.RecordBatch.from_arrays([*names, _listed(terms), _listed(new)], schema=schema)
+        return pa.RecordBatch.from_arrays([*names, pa.array(weights, type=pa.int64()), _listed(terms)], schema=schema)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        as_bytes = (pa.RecordBatch.from_arrays([b.column(c).cast(pa.binary()) for c in ("lang", "source", "text")], ["lang", "source", "text"]) for b in batches)
+        counts, in_docs = Counter(), Counter()
+        at = None
+
+        def of_group() -> Iterator[tuple]:
+            prefix = at[0] + SEPARATOR.encode()
+            yield (*at, 1, [])
+            for weight, terms in _by_digit(counts):
+                yield (*at, weight, [prefix + t for t in terms])
+            counts.clear()
+
+        def of_lang() -> Iterator[tuple]:
+            prefix = at[0] + SEPARATOR.encode()
+            left, n = list(in_docs.items()), 0
+            while left and n < least_docs:
+                yield (*at, 0 if n else -1, [prefix + t for t, _ in left])
+                n += 1
+                left = [x for x in left if x[1] > n]
+            in_docs.clear()
+
+        for lang, source, text in common.arrow_rows(as_bytes, ["lang", "source", "text"]):
+            if at is not None and (lang, source) != at:
+                yield from of_group()
+                if lang != at[0]:
+                    yield from of_lang()
+            at = lang, source
+            terms = terms_of(text)
+            counts.update(terms)
+            in_docs.update(set(terms))
+            if len(counts) > TERMS_HELD:
+                yield from of_group()
+            if len(in_docs) > TERMS_HELD:
+                yield from of_lang()
+        if at is not None:
+            yield from of_group()
+            yield from of_lang()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         held: list[tuple] = []
         n = 0
-        as_bytes = (pa.RecordBatch.from_arrays([b.column(c).cast(pa.binary()) for c in ("lang", "source", "text")], ["lang", "source", "text"]) for b in batches)
-        for lang, source, text in common.arrow_rows(as_bytes, ["lang", "source", "text"]):
-            terms = list(map((lang + SEPARATOR.encode()).__add__, terms_of(text)))
-            new = set(terms) - seen
-            if len(seen) + len(new) > TERMS_SEEN:
-                seen.clear()
-            seen |= new
-            held.append((lang, source, terms, list(new)))
-            n += len(terms) + 1
+        for piece in pieces(batches):
+            held.append(piece)
+            n += len(piece[3]) + 1
             if n >= TERMS_PER_BATCH:
                 yield batch(held)
                 held, n = [], 0
         if held:
             yield batch(held)
 
-    return docs.select(lang, source, common.text_or_empty().alias("text")).mapInArrow(run, "lang string, source string, terms array<string>, new array<string>")
+    rows = docs.select(lang, source, common.text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
+    dealt = rows.repartitionByRange("lang", "source", "row").sortWithinPartitions("lang", "source").select("lang", "source", "text")
+    return dealt.mapInArrow(run, "lang string, source string, weight long, terms array<string>")
+
+
+#: Rows of ``worded`` that stand for documents.
+_DOCUMENT = "weight <= 0"
 
 
 def _sums_by_model(docs: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
-    """(term, lang, item) of the vocabulary, and (lang, source, term, n): sums of the sparse document vectors of each group.
+    """(term, lang, item) of the vocabulary, and (lang, source, term, n): sums of the sparse vectors of each group's rows, by their weights.
 
     A term carries its language, so one fit gives every language its own vocabulary, with its own document frequencies.
     """
     spark = docs.sparkSession
     mark = spark.range(least_docs).select(F.array(F.lit(_MARK)).alias("terms"))
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_docs), vocabSize=2**31 - 1).fit(docs.select("terms").unionByName(mark))
+    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_docs), vocabSize=2**31 - 1).fit(docs.filter(_DOCUMENT).select("terms").unionByName(mark))
     named = [(i, *t.rsplit(SEPARATOR, 1)) for i, t in enumerate(model.vocabulary) if t != _MARK]
     vocabulary = spark.createDataFrame(named, "term int, lang string, item string")
     # Sums over two numbers are Spark's fastest; a group's number stands for its names until then.
     groups = common.stored(docs.select("lang", "source").distinct().withColumn("group", F.monotonically_increasing_id()), "divergence-numbers")
     sparse = F.unwrap_udt("vector")
-    vectors = model.transform(docs).select("lang", "source", sparse.alias("vector")).join(groups, ["lang", "source"])
-    entries = vectors.select("group", F.inline(F.arrays_zip(F.col("vector.indices").alias("term"), F.col("vector.values").alias("n"))))
-    sums = common.stored(entries.groupBy("group", "term").agg(F.sum(F.col("n").cast("long")).alias("n")), "divergence-group-sums")
+    vectors = model.transform(docs.filter("weight > 0")).select("lang", "source", "weight", sparse.alias("vector")).join(groups, ["lang", "source"])
+    entries = vectors.select("group", "weight", F.inline(F.arrays_zip(F.col("vector.indices").alias("term"), F.col("vector.values").alias("n"))))
+    sums = common.stored(entries.groupBy("group", "term").agg(F.sum(F.col("n").cast("long") * F.col("weight")).alias("n")), "divergence-group-sums")
     return vocabulary, sums.join(groups, "group").select("lang", "source", "term", "n")
 
 
 def _sums_by_rows(docs: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
     """The same from rows, for vocabularies of any size: no list of terms is held anywhere."""
-    in_docs = docs.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("docs"))
+    in_docs = docs.filter(_DOCUMENT).select("lang", F.explode("terms").alias("term")).groupBy("lang", "term").agg(F.count("*").alias("docs"))
     kept = common.stored(in_docs.filter(F.col("docs") >= least_docs).select("term", "lang", F.expr("substring(term, char_length(lang) + 2)").alias("item")), "divergence-vocabulary")
-    sums = docs.select("lang", "source", F.explode("terms").alias("term")).groupBy("lang", "source", "term").agg(F.count("*").alias("n"))
+    sums = docs.filter("weight > 0").select("lang", "source", "weight", F.explode("terms").alias("term")).groupBy("lang", "source", "term").agg(F.sum("weight").alias("n"))
     return kept, sums.join(kept.select("term"), "term", "left_semi")
 
 
@@ -144,8 +196,8 @@ def audited(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_
     A null lang, source or text is ''; a group without terms has its pairs, of value 0 if its language keeps none; repeated
     rows and ids are documents of their own; an empty table gives no rows; other columns are ignored.
     """
-    docs = common.stored(worded(docs), "divergence-words")
-    distinct_terms = docs.select(F.explode("new").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
+    docs = common.stored(worded(docs, least_docs), "divergence-words")
+    distinct_terms = docs.filter("weight < 0").select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
     vocabulary, sums = (_sums_by_model if distinct_terms <= model_terms else _sums_by_rows)(docs, least_docs)
     sums = common.stored(sums, "divergence-sums")
     vocabulary = common.stored(vocabulary, "divergence-items")

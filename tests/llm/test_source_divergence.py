@@ -58,3 +58,27 @@ def test_many_sources_are_paired_block_by_block(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert D.audited(spark.createDataFrame([], "lang string, source string, text string")).count() == 0
+
+
+def test_terms_are_counted_before_they_are_sent(spark, monkeypatch):
+    rows = [("en", f"s{i % 2}", "the same words again and the same words") for i in range(400)]
+    table = spark.createDataFrame(rows, "lang string, source string, text string").repartition(4)
+    sent = D.worded(table, 10)
+    weighed = [(r["source"], r["weight"], t) for r in sent.filter("weight > 0").collect() for t in r["terms"]]
+    found = Counter()
+    for source, weight, term in weighed:
+        found[source, term] += weight
+    assert found == {(f"s{k}", f"en\x00{t}"): 200 * n for k in range(2) for t, n in Counter(rows[0][2].split()).items()}
+    assert len(weighed) < 1000  # the texts have 3,200 terms
+    stand_ins = Counter(t for r in sent.filter("weight <= 0").collect() for t in r["terms"])
+    assert all(10 <= n <= 10 * 5 for n in stand_ins.values())
+    assert {tuple(r) for r in D.audited(table).collect()} == plain(rows, 10, 10)
+
+
+def test_digits_add_up():
+    counts = Counter({b"a": 1, b"b": 6, b"c": 2**40 + 5})
+    out = Counter()
+    for weight, terms in D._by_digit(counts):
+        for t in terms:
+            out[t] += weight
+    assert out == counts and list(D._by_digit(Counter())) == []
