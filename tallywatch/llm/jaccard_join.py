@@ -143,8 +143,15 @@ def _overlap(a, b):
 
 
 def linked(pairs: DataFrame, segments: DataFrame, rule: Rule) -> DataFrame:
-    """a, b and link of each pair: the overlap is counted in each fragment on its own and summed per pair."""
+    """a, b and link of each pair: the overlap is counted in each fragment on its own and summed per pair.
+
+    ``segments`` may have a set's rows more than once. Only those of sets in a pair are shuffled.
+    """
     count = F.pandas_udf(_overlap, "long")
+    pairs = common.stored(pairs, "jaccard-asked")
+    asked = common.IdFilter(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid")
+    segments = segments.filter(asked.test("sid")).select("sid", "fragment", "n", "elements").dropDuplicates(["sid", "fragment"])
+    segments = common.stored(segments, "jaccard-elements")
     cut = common.stored(pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)))), "jaccard-pairs")
     of_a = segments.select(F.col("sid").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("elements").alias("in_a"))
     of_b = segments.select(F.col("sid").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("elements").alias("in_b"))
@@ -198,6 +205,27 @@ def near_in_block(rows: list[tuple], rule: Rule, best_only: bool) -> Iterator[tu
             yield from zip(a[a > b].tolist(), b[a > b].tolist(), strict=True)
 
 
+def may_link(n_a: int, in_a: bytes, n_b: int, in_b: bytes, rule: Rule) -> bool:
+    """Whether sizes and sketches leave it open that two sets link."""
+    size = min(len(in_a), len(in_b))
+    apart = int(np.bitwise_count(_folded(in_a, size) ^ _folded(in_b, size)).sum())
+    return apart <= rule.differing(n_a + n_b) and rule.part * max(n_a, n_b) <= rule.of * min(n_a, n_b)
+
+
+def _open_pairs(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs that size and sketch do not rule out, so that the elements of the others are never moved."""
+    @F.pandas_udf("boolean")
+    def is_open(n_a, in_a, n_b, in_b):
+        import pandas as pd
+
+        return pd.Series([may_link(*pair, rule) for pair in zip(n_a.tolist(), in_a, n_b.tolist(), in_b, strict=True)], dtype="bool")
+
+    of_a = sketches.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("in_a"))
+    of_b = sketches.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("in_b"))
+    left = common.stored(pairs.join(of_a, "a"), "jaccard-sketched")
+    return common.join_salted(left, of_b, ["b"], ["a"]).filter(is_open("n_a", "in_a", "n_b", "in_b")).select("a", "b")
+
+
 def _block_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, rule: Rule, best_only: bool) -> DataFrame:
     """Pairs of sets that share a key, are not connected yet, and may link.
 
@@ -254,9 +282,9 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     members = common.stored(met.select("key", "sid").distinct(), "jaccard-members")
     wanted = common.IdFilter(members.select("sid").distinct(), "sid")
     segments = _map(texts, emit := _Segments(rule, wanted), emit.schema, emit.ddl)
-    segments = common.stored(segments.dropDuplicates(["sid", "fragment"]), "jaccard-segments")
-    sketches = segments.filter("fragment = 0").select("sid", "n", "sketch")
-    checked = common.stored(linked(_pivot_pairs(members, sets), segments, rule), "jaccard-checked")
+    segments = common.stored(segments, "jaccard-segments")
+    sketches = common.stored(segments.filter("fragment = 0").select("sid", "n", "sketch").dropDuplicates(["sid"]), "jaccard-sketches")
+    checked = common.stored(linked(_open_pairs(_pivot_pairs(members, sets), sketches, rule), segments, rule), "jaccard-checked")
     for best_only in (True, False):
         known = common.components(checked.filter("link").select("a", "b")).select(F.col("node").alias("sid"), "root")
         pairs = _block_pairs(members, known, sketches, rule, best_only)

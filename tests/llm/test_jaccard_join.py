@@ -83,3 +83,19 @@ def test_odd_rows(odd):
     assert {r.component_id for r in got.filter("doc_id = 5").collect()} == {5}
     assert jj.grouped(odd.limit(0)).count() == 0
     assert jj.one_per_group(odd).filter("doc_id = 5").count() == 2
+
+
+def test_elements_of_sets_that_cannot_link_are_not_moved(docs, monkeypatch):
+    stored, seen = jj.common.stored, {}
+
+    def counted(df, name):
+        held = stored(df, name)
+        seen.setdefault(name, []).append(held.count())
+        return held
+
+    monkeypatch.setattr(jj.common, "stored", counted)
+    half = " ".join(f"both{i}" for i in range(150))
+    table = docs(*[(k, half + "".join(f" own{k}x{i}" for i in range(150))) for k in range(3)])
+    assert sorted(r.component_id for r in jj.grouped(table).collect()) == [0, 1, 2]
+    assert seen["jaccard-members"][0] > 0 and seen["jaccard-segments"] == [12]
+    assert seen["jaccard-elements"] == [0, 0, 0]
