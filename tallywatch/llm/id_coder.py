@@ -2,11 +2,13 @@
 
 An id is predicted from the two ids before it, from the one before it, and from all ids of the block so far (orders 2, 1
 and 0). Adaptive weights, one set for each state of the predictions, mix the three: the coder codes which order predicts the
-id, and, where only order 0 does, the id under the adaptive frequencies of 256 ranges of ids, equal inside a range. All
-arithmetic is on integers, so that every machine decodes what any other has coded.
+id, and, where only order 0 does, in the same step the id's range under the adaptive frequencies of 256 ranges of ids. Ids are
+equal inside a range, so their bits below it are not coded but stand by themselves. All arithmetic is on integers, so that
+every machine decodes what any other has coded.
 
-A block is: magic, bits of an id, number of ids, crc32 of the ids (as little-endian 32-bit numbers), 16-bit code words, and
-the crc32 of all that. A damaged block raises ``ValueError``.
+A block is: magic, bits of an id, number of ids, crc32 of the ids (as little-endian 32-bit numbers), number of ids that only
+order 0 predicts, 16-bit code words, the lower bits of those ids, and the crc32 of all that. A damaged block raises
+``ValueError``.
 """
 
 from __future__ import annotations
@@ -18,35 +20,45 @@ import numpy as np
 
 #: Ids in a block. Models start anew in each, so any block can be read alone.
 BLOCK_IDS = 2048
-MAGIC = b"IDB1"
+MAGIC = b"IDB2"
 
-_HEAD = struct.Struct("<4sBxxxII")
-_BITS = 15  # shares are numbers of 2^15
+_HEAD = struct.Struct("<4sBxxxIII")
+_BITS = 15  # shares are numbers of 2^15, and those of a range inside order 0's share numbers of 2^30
 _FULL = 1 << _BITS
-_TOP, _SHORT, _WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
+_TOP, _SHORT, _WORD, _CODED = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16), np.uint64(2 * _BITS)
 _NONE = np.uint32(0xFFFFFFFF)  # no id
 _SLOTS_1, _SLOTS_2 = 1024, 2048
-_RATE = 4  # a weight goes 1/16 of the way
-_RENEW, _STEP = 128, 4  # ids between renewals of the frequencies, and what one occurrence adds
-_RANGES, _IN_RANGE = 256, 9  # ranges of ids, and bits inside a range that are coded together with it
+_RATE, _LEAST = 4, 16  # a weight goes 1/16 of the way, down to this
+_FIRST_RENEWAL, _RENEW, _STEP = 64, 1024, 4  # frequencies are renewed at the powers of 2 from the first and then each so many ids; what one occurrence adds
+_RANGES = 256  # ranges of ids
+_GUESS = 5  # bits of a share that the decoder's first guess of a range leaves out
 
 
 class _Model:
     """The state of ``lanes`` blocks: slots of orders 1 and 2, mixing weights, counts. Coder and decoder move it alike."""
 
     def __init__(self, lanes: int):
-        self.rows = np.arange(lanes)
-        self.rows_1, self.rows_2, self.rows_4 = self.rows * _SLOTS_1, self.rows * _SLOTS_2, self.rows * 4
+        rows = np.arange(lanes)
+        self.rows_0, self.rows_1, self.rows_2, self.rows_4 = rows * (_RANGES + 1), rows * _SLOTS_1, rows * _SLOTS_2, rows * 4
         self.before, self.last = np.full(lanes, _NONE), np.full(lanes, _NONE)
         self.one, self.two = np.full(lanes * _SLOTS_1, _NONE), np.full(lanes * _SLOTS_2, _NONE)
-        self.weights = np.full(lanes * 4, _FULL // 2, dtype=np.int64), np.full(lanes * 4, _FULL // 2, dtype=np.int64)
-        self.counts = np.ones((lanes, _RANGES), dtype=np.uint32)
-        self.starts = np.zeros((lanes, _RANGES + 1), dtype=np.uint32)
+        self.weights = np.full(lanes * 4, _FULL // 2 << 16 | _FULL // 2, dtype=np.int32)  # those of order 1 and, in the low 16 bits, of order 2
+        self.counts = np.ones((lanes, _RANGES), dtype=np.int64)
+        self.starts = np.zeros((lanes, _RANGES + 1), dtype=np.uint16)
+        self.renewed = 0
 
-    def renew(self, k: int) -> None:
-        counts = self.counts[:k]
-        shares = counts * np.uint32(_FULL - _RANGES) // counts.sum(axis=1, dtype=np.uint32, keepdims=True) + np.uint32(1)
-        np.cumsum(shares, axis=1, out=self.starts[:k, 1:])
+    def renew(self, step: int, ids: np.ndarray, new: np.ndarray, below: int) -> bool:
+        """The frequencies with the ids before ``step``, when it is time for it."""
+        if step % _RENEW and (step < _FIRST_RENEWAL or step & (step - 1)):
+            return False
+        since, self.renewed = slice(self.renewed, step), step
+        lanes = len(self.counts)
+        found = ((ids[since] >> np.uint32(below)) + np.arange(lanes) * _RANGES)[new[since]]
+        self.counts += (np.bincount(found, minlength=lanes * _RANGES) * _STEP).reshape(lanes, _RANGES)
+        shares = self.counts * (_FULL - _RANGES) // self.counts.sum(axis=1, keepdims=True) + 1
+        np.cumsum(shares, axis=1, out=shares)
+        self.starts[:, 1:] = shares
+        return True
 
     def predict(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the first ``k`` lanes: the ids that orders 2 and 1 predict, the share of order 2, and that of both together.
@@ -54,22 +66,36 @@ class _Model:
         Where an order knows nothing, or order 1 says what order 2 does, it has no share.
         """
         mixed = self.last[:k] * np.uint32(0x9E3779B1)
-        self.at_one = (mixed >> np.uint32(22)) + self.rows_1[:k]
-        self.at_two = (((self.before[:k] * np.uint32(0x85EBCA6B)) ^ mixed) * np.uint32(0xC2B2AE35) >> np.uint32(21)) + self.rows_2[:k]
+        self.at_one = self.rows_1[:k] + (mixed >> np.uint32(22))
+        self.at_two = self.rows_2[:k] + (((self.before[:k] * np.uint32(0x85EBCA6B)) ^ mixed) * np.uint32(0xC2B2AE35) >> np.uint32(21))
         two, one = self.two.take(self.at_two), self.one.take(self.at_one)
-        no_two = two == _NONE
-        no_one = (one == _NONE) | (one == two)
-        self.at_weight = self.rows_4[:k] + no_two * 2 + no_one
-        self.old = self.weights[0].take(self.at_weight), self.weights[1].take(self.at_weight)
-        first = np.where(no_two, 0, self.old[0])
-        both = first + np.where(no_one, 0, np.maximum((_FULL - first) * self.old[1] >> _BITS, 1))
+        has_two = two != _NONE
+        has_one = (one != _NONE) & (one != two)
+        self.at_weight = self.rows_4[:k] + (has_two.view(np.int8) * np.int8(2) + has_one.view(np.int8))
+        held = self.weights.take(self.at_weight)
+        self.first, self.second = held & 0xFFFF, held >> 16
+        first = np.where(has_two, self.first, np.int32(0))
+        both = first + np.where(has_one, np.maximum((_FULL - first) * self.second >> _BITS, 1), np.int32(0))
         return two, one, first, both
 
+    def intervals(self, k: int, at: np.ndarray, first: np.ndarray, both: np.ndarray, by_two: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of what is coded, as numbers of 2^30; ``at`` is the id's range."""
+        place = self.rows_0[:k] + at
+        starts = self.starts.reshape(-1)
+        start = starts.take(place)
+        place += 1
+        share, rest = (starts.take(place) - start).astype(np.int32), _FULL - both
+        return (
+            np.where(new, (both << _BITS) + rest * start.astype(np.int32), np.where(by_two, np.int32(0), first << _BITS)),
+            np.where(new, rest * share, np.where(by_two, first, both - first) << _BITS),
+        )
+
     def learn(self, k: int, ids: np.ndarray, by_two: np.ndarray, by_one: np.ndarray) -> None:
-        # Rounding down keeps a weight, and so the share of any order, above 0 and below 1.
-        first, second = self.old
-        self.weights[0][self.at_weight] = first + np.where(by_two, (_FULL - first) >> _RATE, -(first >> _RATE))
-        self.weights[1][self.at_weight] = second + np.where(by_one, (_FULL - second) >> _RATE, np.where(by_two, 0, -(second >> _RATE)))
+        # A weight, and so the share of any order, stays above 0 and below 1.
+        least, full = np.int32(_LEAST), np.int32(_FULL)
+        first = self.first + ((np.where(by_two, full, least) - self.first) >> _RATE)
+        second = self.second + np.where(by_two, np.int32(0), (np.where(by_one, full, least) - self.second) >> _RATE)
+        self.weights[self.at_weight] = second << 16 | first
         self.two[self.at_two] = ids
         self.one[self.at_one] = ids
         self.before[:k] = self.last[:k]
@@ -84,22 +110,23 @@ class _Coder:
         self.room = room
         self.words, self.at = np.zeros(lanes * room, dtype="<u2"), np.arange(lanes) * room
 
-    def narrow(self, lanes: np.ndarray, start: np.ndarray, end: np.ndarray, bits: int) -> None:
-        part = self.range.take(lanes) >> np.uint64(bits)
-        start = start.astype(np.uint64)
-        low, wide = self.low.take(lanes) + part * start, part * (end.astype(np.uint64) - start)
+    def narrow(self, k: int, start: np.ndarray, size: np.ndarray) -> None:
+        low, wide = self.low[:k], self.range[:k]
+        part = wide >> _CODED
+        low += part * start.astype(np.uint64)
+        np.multiply(part, size.astype(np.uint64), out=wide)
         moving = np.flatnonzero(((low ^ (low + wide)) < _TOP) | (wide < _SHORT))
+        l, w = low.take(moving), wide.take(moving)
         while len(moving):
-            l, w = low[moving], wide[moving]
             w = np.where((l ^ (l + w)) < _TOP, w, (np.uint64(0) - l) & (_SHORT - np.uint64(1)))
-            self.shift(lanes[moving], l)
+            self.shift(moving, l)
             l, w = l << _WORD, w << _WORD
             low[moving], wide[moving] = l, w
-            moving = moving[((l ^ (l + w)) < _TOP) | (w < _SHORT)]
-        self.low[lanes], self.range[lanes] = low, wide
+            again = np.flatnonzero(((l ^ (l + w)) < _TOP) | (w < _SHORT))
+            moving, l, w = moving.take(again), l.take(again), w.take(again)
 
     def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        at = self.at[lanes]
+        at = self.at.take(lanes)
         self.words[at] = low >> np.uint64(48)
         self.at[lanes] = at + 1
 
@@ -114,20 +141,56 @@ class _Decoder(_Coder):
             self.shift(np.arange(len(words)), self.low)
 
     def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        at = self.at[lanes]
-        self.code[lanes] = (self.code[lanes] << _WORD) | self.words.take(at, mode="clip").astype(np.uint64)
+        at = self.at.take(lanes)
+        self.code[lanes] = (self.code.take(lanes) << _WORD) | self.words.take(at, mode="clip")
         self.at[lanes] = at + 1
 
-    def value(self, lanes: np.ndarray, bits: int) -> np.ndarray:
-        part = np.maximum(self.range.take(lanes) >> np.uint64(bits), np.uint64(1))
-        return np.minimum((self.code.take(lanes) - self.low.take(lanes)) // part, np.uint64((1 << bits) - 1)).astype(np.int64)
+    def value(self, k: int) -> np.ndarray:
+        part = np.maximum(self.range[:k] >> _CODED, np.uint64(1))
+        return np.minimum((self.code[:k] - self.low[:k]) // part, np.uint64((1 << 2 * _BITS) - 1)).astype(np.int32)
 
 
-def _parts(id_bits: int) -> tuple[int, int, list[tuple[int, int]]]:
-    """Bits below a range of ids, how many of them are coded with the range, and (place, bits) of those after."""
-    below = max(0, id_bits - 8)
-    rest, with_range = max(0, below - _IN_RANGE), min(below, _IN_RANGE)
-    return below, with_range, [(max(0, place - _BITS), place - max(0, place - _BITS)) for place in range(rest, 0, -_BITS)]
+class _Ranges:
+    """Finds the range that a share lies in: a table tells between which two, halving does the rest."""
+
+    def __init__(self, starts: np.ndarray):
+        lanes = len(starts)
+        self.starts, self.width = starts, (_FULL >> _GUESS) + 2
+        rows = np.arange(lanes)
+        cell = ((starts[:, 1:_RANGES].astype(np.int64) + ((1 << _GUESS) - 1)) >> _GUESS) + rows[:, None] * self.width
+        found = np.bincount(cell.reshape(-1), minlength=lanes * self.width).reshape(lanes, self.width)
+        self.table = np.cumsum(found, axis=1).astype(np.uint8).reshape(-1)  # the range in which each cell begins
+        self.rows, self.rows_0 = rows * self.width, rows * (_RANGES + 1)
+
+    def find(self, k: int, share: np.ndarray) -> np.ndarray:
+        cell = self.rows[:k] + (share >> _GUESS)
+        least, most = self.table.take(cell).astype(np.int64), self.table.take(cell + 1)
+        open_ = np.flatnonzero(least < most)
+        low, high, rows, share = least.take(open_), most.take(open_).astype(np.int64), self.rows_0.take(open_), share.take(open_)
+        starts = self.starts.reshape(-1)
+        while len(open_):
+            middle = (low + high + 1) >> 1
+            reached = starts.take(rows + middle) <= share
+            low, high = np.where(reached, middle, low), np.where(reached, high, middle - 1)
+            least[open_] = low
+            more = np.flatnonzero(low < high)
+            open_, low, high, rows, share = open_.take(more), low.take(more), high.take(more), rows.take(more), share.take(more)
+        return least
+
+
+def _packed(values: np.ndarray, bits: int) -> bytes:
+    if bits % 8 == 0:
+        return values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : bits // 8].tobytes()
+    return np.packbits(((values[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)).tobytes()
+
+
+def _unpacked(held: bytes, n: int, bits: int) -> np.ndarray:
+    if bits % 8 == 0:
+        out = np.zeros((n, 4), dtype=np.uint8)
+        out[:, : bits // 8] = np.frombuffer(held, dtype=np.uint8).reshape(n, bits // 8)
+        return out.view("<u4").reshape(-1)
+    found = np.unpackbits(np.frombuffer(held, dtype=np.uint8), count=n * bits).reshape(n, bits)
+    return (found.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
 
 
 def encode(blocks: list[np.ndarray], id_bits: int = 32) -> list[bytes]:
@@ -139,40 +202,31 @@ def encode(blocks: list[np.ndarray], id_bits: int = 32) -> list[bytes]:
         ids[: len(blocks[i]), lane] = blocks[i]
     if id_bits < 32 and (ids >> np.uint32(id_bits)).any():
         raise ValueError(f"an id does not fit {id_bits} bits")
-    below, with_range, after = _parts(id_bits)
-    rest = below - with_range
+    below = max(0, id_bits - 8)
     model, coder = _Model(len(blocks)), _Coder(len(blocks), 4 * len(ids) + 8)
-    starts, counts = model.starts.reshape(-1), model.counts.reshape(-1)
+    alone = np.zeros(ids.shape, dtype=bool)  # ids that only order 0 predicts
     for step, now in enumerate(ids):
         k = int(np.searchsorted(-lengths, -step, side="left"))
-        if step % _RENEW == 0:
-            model.renew(k)
+        model.renew(step, ids, alone, below)
         now = now[:k]
         two, one, first, both = model.predict(k)
         by_two = now == two
         by_one = (now == one) & ~by_two
-        coder.narrow(model.rows[:k], np.where(by_two, 0, np.where(by_one, first, both)), np.where(by_two, first, np.where(by_one, both, _FULL)), _BITS)
-        new = np.flatnonzero(~(by_two | by_one))
-        own = now.take(new).astype(np.int64)
-        at = own >> below
-        place_of = new * (_RANGES + 1) + at
-        start = starts.take(place_of).astype(np.int64)
-        size = starts.take(place_of + 1) - start
-        inside = (own >> rest) & ((1 << with_range) - 1)
-        start = (start << with_range) + inside * size
-        coder.narrow(new, start, start + size, _BITS + with_range)
-        for place, bits in after:
-            piece = (own >> place) & ((1 << bits) - 1)
-            coder.narrow(new, piece, piece + 1, bits)
-        counts[new * _RANGES + at] += np.uint32(_STEP)
+        new = ~(by_two | by_one)
+        alone[step, :k] = new
+        coder.narrow(k, *model.intervals(k, now >> np.uint32(below), first, both, by_two, new))
         model.learn(k, now, by_two, by_one)
+    lanes = np.arange(len(blocks))
     for _ in range(4):
-        coder.shift(model.rows, coder.low)
+        coder.shift(lanes, coder.low)
         coder.low <<= _WORD
     out: list[bytes] = [b""] * len(blocks)
+    mask = np.uint32((1 << below) - 1)
     for lane, i in enumerate(by_length):
-        head = _HEAD.pack(MAGIC, id_bits, len(blocks[i]), zlib.crc32(ids[: len(blocks[i]), lane].astype("<u4").tobytes()))
-        body = head + coder.words[lane * coder.room : coder.at[lane]].tobytes()
+        own = np.ascontiguousarray(ids[: len(blocks[i]), lane])
+        lower = own[alone[: len(own), lane]] & mask
+        head = _HEAD.pack(MAGIC, id_bits, len(own), zlib.crc32(own.astype("<u4").tobytes()), len(lower))
+        body = head + coder.words[lane * coder.room : coder.at[lane]].tobytes() + _packed(lower, below)
         out[i] = body + struct.pack("<I", zlib.crc32(body))
     return out
 
@@ -187,48 +241,42 @@ def decode(blocks: list[bytes]) -> list[np.ndarray]:
     out: list[np.ndarray] = [np.empty(0, dtype=np.uint32)] * len(blocks)
     for id_bits in {h[0] for h in heads}:
         chosen = sorted((i for i, h in enumerate(heads) if h[0] == id_bits), key=lambda i: -heads[i][1])
-        for i, ids in zip(chosen, _decoded([blocks[i] for i in chosen], np.array([heads[i][1] for i in chosen]), id_bits), strict=True):
+        decoded = _decoded([blocks[i] for i in chosen], np.array([heads[i][1] for i in chosen]), [heads[i][3] for i in chosen], id_bits)
+        for i, ids in zip(chosen, decoded, strict=True):
             if zlib.crc32(ids.astype("<u4").tobytes()) != heads[i][2]:
                 raise ValueError("damaged block of ids")
             out[i] = ids
     return out
 
 
-def _decoded(blocks: list[bytes], lengths: np.ndarray, id_bits: int) -> list[np.ndarray]:
+def _decoded(blocks: list[bytes], lengths: np.ndarray, alone_in: list[int], id_bits: int) -> list[np.ndarray]:
     """The same for blocks of one id width, longest first."""
     ids = np.zeros((int(lengths.max(initial=0)), len(blocks)), dtype=np.uint32)
-    below, with_range, after = _parts(id_bits)
-    rest = below - with_range
-    model, coder = _Model(len(blocks)), _Decoder([np.frombuffer(b, dtype="<u2", offset=_HEAD.size, count=(len(b) - _HEAD.size - 4) // 2) for b in blocks])
-    starts, counts = model.starts.reshape(-1), model.counts.reshape(-1)
+    below = max(0, id_bits - 8)
+    ends = [len(b) - 4 - (n * below + 7) // 8 for b, n in zip(blocks, alone_in, strict=True)]
+    if any(end < _HEAD.size for end in ends):
+        raise ValueError("damaged block of ids")
+    lower = np.concatenate([*(_unpacked(b[end:-4], n, below) for b, end, n in zip(blocks, ends, alone_in, strict=True)), np.zeros(1, dtype=np.uint32)])
+    next_lower = np.concatenate(([0], np.cumsum(alone_in)))[:-1]
+    model, coder = _Model(len(blocks)), _Decoder([np.frombuffer(b, dtype="<u2", offset=_HEAD.size, count=(end - _HEAD.size) // 2) for b, end in zip(blocks, ends, strict=True)])
+    alone = np.zeros(ids.shape, dtype=bool)
     for step in range(len(ids)):
         k = int(np.searchsorted(-lengths, -step, side="left"))
-        if step % _RENEW == 0:
-            model.renew(k)
+        if model.renew(step, ids, alone, below):
+            ranges = _Ranges(model.starts)
+        value = coder.value(k)
         two, one, first, both = model.predict(k)
-        value = coder.value(model.rows[:k], _BITS)
-        by_two = value < first
-        by_one = (value < both) & ~by_two
-        coder.narrow(model.rows[:k], np.where(by_two, 0, np.where(by_one, first, both)), np.where(by_two, first, np.where(by_one, both, _FULL)), _BITS)
-        new = np.flatnonzero(~(by_two | by_one))
-        value = coder.value(new, _BITS + with_range)
-        share, base = value >> with_range, new * (_RANGES + 1)
-        at = np.zeros(len(new), dtype=np.int64)
-        for half in (128, 64, 32, 16, 8, 4, 2, 1):
-            at += (starts.take(base + (at + half)) <= share) * half
-        start = starts.take(base + at).astype(np.int64)
-        size = starts.take(base + at + 1) - start
-        inside = np.minimum((value - (start << with_range)) // size, (1 << with_range) - 1)
-        start = (start << with_range) + inside * size
-        coder.narrow(new, start, start + size, _BITS + with_range)
-        own = (at << below) + (inside << rest)
-        for place, bits in after:
-            piece = coder.value(new, bits)
-            coder.narrow(new, piece, piece + 1, bits)
-            own += piece << place
-        counts[new * _RANGES + at] += np.uint32(_STEP)
-        now = np.where(by_two, two, one)
-        now[new] = own
+        order = value >> _BITS
+        by_two, new = order < first, order >= both
+        by_one = ~(by_two | new)
+        # Where an order predicts the id, the share means nothing.
+        share = np.minimum((value - (both << _BITS)).view(np.uint32) // (_FULL - both).view(np.uint32), np.uint32(_FULL - 1))
+        at = ranges.find(k, share)
+        own = (at << below) | lower.take(next_lower[:k], mode="clip")
+        next_lower[:k] += new
+        now = np.where(new, own.astype(np.uint32), np.where(by_two, two, one))
+        coder.narrow(k, *model.intervals(k, at, first, both, by_two, new))
         ids[step, :k] = now
+        alone[step, :k] = new
         model.learn(k, now, by_two, by_one)
-    return [ids[:n, lane] for lane, n in enumerate(lengths.tolist())]
+    return [np.ascontiguousarray(ids[:n, lane]) for lane, n in enumerate(lengths.tolist())]

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,11 +23,35 @@ END_ID, ID_BITS = 1, 16
 IDS_HELD = 8_000_000
 #: Distinct words that a task remembers, as they stand and as the tokenizer gets them.
 WORDS_HELD, BARE_HELD = 200_000, 1_000_000
+#: Bytes of text that are cut into pieces at a time.
+BYTES_AT_ONCE = 4_000_000
 
 # Letters of Latin-1 and marks after them; no apostrophe, which the tokenizer joins to some letters.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
 _BEYOND_ASCII = [c for c in map(chr, range(0xDF, 0x100)) if c.isalpha()]  # the lower ones of those letters
 
+# Pieces of a plain text in lower case: what the tokenizer's expression finds, which white space never joins.
+_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+_SPACE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of UTF-8, what it is and what it is in lower case. Beyond ASCII the letters of Latin-1 are plain, 0xC3 and a second
+    byte, and all else is odd; so is "<", with which the tokenizer's special tokens begin."""
+    kind, lower = np.full(256, _ODD, dtype=np.uint8), np.arange(256, dtype=np.uint8)
+    kind[list(b"\t\n\r ")] = _SPACE
+    kind[0x21:0x7F] = _MARK
+    kind[ord("0") : ord("9") + 1] = _DIGIT
+    kind[ord("<")] = _ODD
+    for first, end in ((ord("A"), ord("Z") + 1), (ord("a"), ord("z") + 1), (0x80, 0xC0), (0xC3, 0xC4)):
+        kind[first:end] = _LETTER
+    lower[ord("A") : ord("Z") + 1] += 32
+    lower[0x80:0x9F] += 32
+    return kind, lower
+
+
+_KIND, _LOWER = _classes()
+
 BLOCK_COLUMNS = """
     part int, block long, first long, n_ids long, documents array<struct<doc_id: bigint, place: bigint, piece: bigint, n_ids: bigint, last: boolean>>, payload binary
 """
@@ -42,6 +68,9 @@ class _Words(dict):
 
     A word of lower letters, or a run of marks, is one piece to the tokenizer, which changes nothing in it but spells its letters
     as bytes. So spelt, it is given to the tokenizer's model, which costs a quarter of a call for a text.
+
+    Many texts at once are cut into such pieces as bytes, and each distinct piece is looked up once; texts with other characters
+    go part by part.
     """
 
     def __init__(self, tokenizer, by_word: bool):
@@ -59,7 +88,7 @@ class _Words(dict):
             if len(self.bare) >= BARE_HELD:
                 self.bare.clear()
             pieces = self.model.tokenize(word if word.isascii() else word.translate(self.spelt))
-            found = self.bare[word] = np.array([p.id for p in pieces], dtype="<u4").tobytes()
+            found = self.bare[word] = struct.pack(f"<{len(pieces)}I", *(p.id for p in pieces))
         return found
 
     def __missing__(self, part: str) -> bytes:
@@ -75,6 +104,67 @@ class _Words(dict):
             return np.frombuffer(self.ids(text), dtype="<u4")
         return np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), dtype="<u4")
 
+    def of_texts(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        """The ids of each text, none of which is null; ``BYTES_AT_ONCE`` of them, or one text, are cut at a time."""
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        first = 0
+        while first < len(texts):
+            least = sizes[first - 1] + BYTES_AT_ONCE if first else BYTES_AT_ONCE
+            end = max(first + 1, int(np.searchsorted(sizes, least, side="right")))
+            yield from self._of_some(texts.slice(first, end - first))
+            first = end
+
+    def _of_some(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        if not self.by_word:
+            yield from map(self.of_text, texts.to_pylist())
+            return
+        text, ends = _bytes_of(texts)
+        odd = _KIND[text] == _ODD
+        odd[1:] |= (text[:-1] == 0xC3) & ((text[1:] == 0x97) | (text[1:] == 0xB7))  # the two signs among those letters
+        is_odd = np.zeros(len(texts), dtype=bool)
+        is_odd[np.searchsorted(ends, np.flatnonzero(odd), side="right")] = True
+        if is_odd.any():
+            plain = self._of_plain(*_bytes_of(texts.filter(pa.array(~is_odd))))
+            for at, alone in enumerate(is_odd.tolist()):
+                yield self.of_text(texts[at].as_py()) if alone else next(plain)
+        else:
+            yield from self._of_plain(text, ends)
+
+    def _of_plain(self, text: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+        """The same for texts of plain characters, given as their bytes one after the other and where each ends."""
+        kind = _KIND[text]
+        starts = (kind == _DIGIT) | (kind != np.concatenate((kind[:1] ^ 1, kind[:-1])))
+        begins = np.concatenate(([0], ends[:-1]))
+        first = begins[begins < ends]
+        starts[first] = True
+        # An apostrophe alone and the letters after it are one piece here, which may hold two of the tokenizer's.
+        mark = np.flatnonzero((text[:-1] == ord("'")) & starts[:-1] & (kind[1:] == _LETTER))
+        starts[mark + 1] = False
+        starts[first] = True  # no piece goes on into the next text
+        inside = kind != _SPACE
+        starts &= inside
+        offsets = np.append(np.flatnonzero(starts[inside]), np.count_nonzero(inside)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(_LOWER[text[inside]])).dictionary_encode()
+        own = [self._bare(p) if p[0] != "'" else b"".join(map(self._bare, _PIECES.findall(p))) for p in pieces.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own)) // 4
+        which = pieces.indices.to_numpy()
+        n = sizes[which]
+        after = np.concatenate(([0], np.cumsum(n)))
+        places = np.repeat((np.cumsum(sizes) - sizes)[which] - after[:-1], n) + np.arange(after[-1])
+        ids = np.frombuffer(b"".join(own), dtype="<u4")[places]
+        cuts = after[np.searchsorted(np.flatnonzero(starts), np.concatenate((begins, ends[-1:])))].tolist()
+        return (ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+
+
+def _bytes_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts, and where each ends."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    offsets, values = texts.buffers()[1:]
+    if not len(ends) or not ends[-1]:
+        return np.empty(0, dtype=np.uint8), ends
+    first = int(np.frombuffer(offsets, dtype=np.int32)[texts.offset])
+    return np.frombuffer(values, dtype=np.uint8)[first : first + ends[-1]], ends
+
 
 _LOADED: dict[tuple[str, bool], _Words] = {}
 
@@ -140,8 +230,13 @@ def coded(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, id_bits: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(tokenizer_file, by_word)
-        documents = ((doc_id, np.concatenate((words.of_text(text), end))) for doc_id, text in common.arrow_rows(batches, ["doc_id", "text"]))
-        yield from _blocks(documents, TaskContext.get().partitionId(), block_ids, id_bits)
+
+        def documents() -> Iterator[tuple[int | None, np.ndarray]]:
+            for batch in batches:
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.of_texts(batch.column("text").cast(pa.string())), strict=True):
+                    yield doc_id, np.concatenate((ids, end))
+
+        yield from _blocks(documents(), TaskContext.get().partitionId(), block_ids, id_bits)
 
     return dealt.mapInArrow(run, BLOCK_COLUMNS)
 

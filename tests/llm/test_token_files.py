@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -130,3 +131,46 @@ def test_few_words_remembered_give_the_same_ids(monkeypatch):
     words = token_files._Words(Tokenizer.from_file(FILE), by_word=True)
     assert [*words.of_text(text).tolist(), 1] == own_ids(text)
     assert len(words) <= 6
+
+
+WHOLE = Tokenizer.from_file(FILE)
+
+
+def ids_of_whole(texts):
+    return [[*WHOLE.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(TEXTS, st.text(alphabet="aBcé'É.3 \n\t×sTrelm<", max_size=30)), max_size=6))
+def test_ids_of_many_texts_are_those_of_each(texts):
+    texts = [*texts, "It's WE'LL don't''s 'tis 'é ..'s a'sun", "", "Straße ÀÖØ 1234's!?", "a×b÷c", "x<|endoftext|>y", *(t + " it's" for t in texts)]
+    words = token_files._words(FILE, True)
+    for held in (pa.array(texts, pa.string()), pa.array(["cut off", *texts, "é"], pa.string()).slice(1, len(texts))):
+        assert [[*i.tolist(), 1] for i in words.of_texts(held)] == ids_of_whole(texts)
+
+
+def test_texts_are_cut_few_at_a_time(monkeypatch):
+    texts = [f"Word{'abcde'[i % 5]}, it's {i}é" if i % 4 else "" for i in range(60)] + [" ", "\n"]
+    for size in (1, 17, 100, 10**6):
+        monkeypatch.setattr(token_files, "BYTES_AT_ONCE", size)
+        assert [[*i.tolist(), 1] for i in token_files._words(FILE, True).of_texts(pa.array(texts))] == ids_of_whole(texts)
+    assert list(token_files._words(FILE, True).of_texts(pa.array([], pa.string()))) == []
+
+
+def test_plain_pieces_are_looked_up_once_for_many_texts(monkeypatch):
+    words = token_files._Words(Tokenizer.from_file(FILE), by_word=True)
+    asked = []
+    monkeypatch.setattr(token_files._Words, "_bare", lambda self, word, bare=token_files._Words._bare: asked.append(word) or bare(self, word))
+    texts = ["The word, THE WORD. it's"] * 50
+    assert [[*i.tolist(), 1] for i in words.of_texts(pa.array(texts))] == ids_of_whole(texts)
+    assert sorted(asked) == ["'s", ",", ".", "it", "the", "word"]
+
+
+def test_an_id_is_one_coding_step_and_its_lower_bits_stand_apart(monkeypatch):
+    steps = []
+    monkeypatch.setattr(id_coder._Coder, "narrow", lambda self, k, start, size, narrow=id_coder._Coder.narrow: steps.append(k) or narrow(self, k, start, size))
+    ids = np.random.default_rng(3).integers(0, 1 << 16, 300, dtype=np.uint32)
+    block = id_coder.encode([ids], 16)[0]
+    assert steps == [1] * 300
+    assert id_coder.decode([block])[0].tolist() == ids.tolist()
+    assert len(block) < 300 * 2 + 60  # random ids cost what they have
