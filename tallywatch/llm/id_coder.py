@@ -7,7 +7,7 @@ equal inside a range, so their bits below it are not coded but stand by themselv
 every machine decodes what any other has coded.
 
 A block is: magic, bits of an id, number of ids, crc32 of the ids (as little-endian 32-bit numbers), number of ids that only
-order 0 predicts, 16-bit code words, the lower bits of those ids, and the crc32 of all that. A damaged block raises
+order 0 predicts, 32-bit code words, the lower bits of those ids, and the crc32 of all that. A damaged block raises
 ``ValueError``.
 """
 
@@ -20,31 +20,46 @@ import numpy as np
 
 #: Ids in a block. Models start anew in each, so any block can be read alone.
 BLOCK_IDS = 2048
-MAGIC = b"IDB2"
+MAGIC = b"IDB3"
 
 _HEAD = struct.Struct("<4sBxxxIII")
-_BITS = 15  # shares are numbers of 2^15, and those of a range inside order 0's share numbers of 2^30
-_FULL = 1 << _BITS
-_TOP, _SHORT, _WORD, _CODED = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16), np.uint64(2 * _BITS)
-_NONE = np.uint32(0xFFFFFFFF)  # no id
+_WEIGHT_BITS, _RANGE_BITS = np.uint64(16), 12  # of the shares of orders, and of those of ranges inside what order 0 has
+_LEAST_RANGE, _WORD, _LOW_WORD = np.uint64(1 << 32), np.uint64(32), np.uint64((1 << 32) - 1)
 _SLOTS_1, _SLOTS_2 = 1024, 2048
-_RATE, _LEAST = 4, 16  # a weight goes 1/16 of the way, down to this
 _FIRST_RENEWAL, _RENEW, _STEP = 64, 1024, 4  # frequencies are renewed at the powers of 2 from the first and then each so many ids; what one occurrence adds
 _RANGES = 256  # ranges of ids
-_GUESS = 5  # bits of a share that the decoder's first guess of a range leaves out
+
+
+def _weights(both: int, two: int) -> np.uint32:
+    """The share of orders 1 and 2 together and, in the low 16 bits, that of order 2."""
+    return np.uint32(both << 16 | two)
+
+
+# The weights at first, by whether order 2 knows an id, and whether order 1 says another. An order that says nothing keeps the least share.
+_AT_FIRST = (_weights(64, 32), _weights(1 << 15, 32), _weights((1 << 15) + 32, 1 << 15), _weights(3 << 14, 1 << 15))
+# A weight loses 1/16 and gains 1/16 of its aim, which depends on the order that was right. So shares stay above 0, and order 0 keeps over 512.
+_SIXTEENTH = np.uint32(0x0FFF0FFF)
+_TWO_RIGHT, _ONE_RIGHT, _NONE_RIGHT = _weights(4063, 4061), _weights(4063, 2), _weights(4, 2)
+
+
+def _kind(id_bits: int) -> type:
+    """What ids are held as: small tables are read faster."""
+    return np.uint16 if id_bits <= 16 else np.uint32
 
 
 class _Model:
     """The state of ``lanes`` blocks: slots of orders 1 and 2, mixing weights, counts. Coder and decoder move it alike."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, id_bits: int):
         rows = np.arange(lanes)
-        self.rows_0, self.rows_1, self.rows_2, self.rows_4 = rows * (_RANGES + 1), rows * _SLOTS_1, rows * _SLOTS_2, rows * 4
-        self.before, self.last = np.full(lanes, _NONE), np.full(lanes, _NONE)
-        self.one, self.two = np.full(lanes * _SLOTS_1, _NONE), np.full(lanes * _SLOTS_2, _NONE)
-        self.weights = np.full(lanes * 4, _FULL // 2 << 16 | _FULL // 2, dtype=np.int32)  # those of order 1 and, in the low 16 bits, of order 2
-        self.counts = np.ones((lanes, _RANGES), dtype=np.int64)
-        self.starts = np.zeros((lanes, _RANGES + 1), dtype=np.uint16)
+        kind = _kind(id_bits)
+        self.unknown = np.iinfo(kind).max  # also an id, with the least share: both sides read it alike
+        self.rows_0, self.rows_1, self.rows_2, self.rows_4 = rows * _RANGES, rows * _SLOTS_1, rows * _SLOTS_2, rows * 4
+        self.before, self.last = np.zeros(lanes, dtype=np.uint32), np.zeros(lanes, dtype=np.uint32)  # hashes of the two ids before
+        self.one, self.two = np.full(lanes * _SLOTS_1, self.unknown, dtype=kind), np.full(lanes * _SLOTS_2, self.unknown, dtype=kind)
+        self.weights = np.tile(np.array(_AT_FIRST, dtype=np.uint32), lanes)
+        self.counts = np.ones((lanes, _RANGES), dtype=np.int32)
+        self.spans = np.empty(0, dtype=np.uint32)  # of each range its start and, in the low 16 bits, its share
         self.renewed = 0
 
     def renew(self, step: int, ids: np.ndarray, new: np.ndarray, below: int) -> bool:
@@ -53,129 +68,109 @@ class _Model:
             return False
         since, self.renewed = slice(self.renewed, step), step
         lanes = len(self.counts)
-        found = ((ids[since] >> np.uint32(below)) + np.arange(lanes) * _RANGES)[new[since]]
-        self.counts += (np.bincount(found, minlength=lanes * _RANGES) * _STEP).reshape(lanes, _RANGES)
-        shares = self.counts * (_FULL - _RANGES) // self.counts.sum(axis=1, keepdims=True) + 1
-        np.cumsum(shares, axis=1, out=shares)
-        self.starts[:, 1:] = shares
+        at = np.flatnonzero(new[since])
+        found = (ids[since].reshape(-1).take(at) >> below) + at % lanes * _RANGES
+        self.counts += (np.bincount(found, minlength=lanes * _RANGES) * _STEP).astype(np.int32).reshape(lanes, _RANGES)
+        shares = self.counts * np.int32((1 << _RANGE_BITS) - _RANGES) // self.counts.sum(axis=1, keepdims=True, dtype=np.int32) + np.int32(1)
+        # What rounding leaves over goes to the last range, so that any value lies in one.
+        shares[:, -1] += (1 << _RANGE_BITS) - shares.sum(axis=1, dtype=np.int32)
+        self.shares = shares.reshape(-1)
+        self.spans = ((np.cumsum(shares, axis=1, dtype=np.int32) - shares) << 16 | shares).view(np.uint32).reshape(-1)
         return True
 
     def predict(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of the first ``k`` lanes: the ids that orders 2 and 1 predict, the share of order 2, and that of both together.
-
-        Where an order knows nothing, or order 1 says what order 2 does, it has no share.
-        """
-        mixed = self.last[:k] * np.uint32(0x9E3779B1)
-        self.at_one = self.rows_1[:k] + (mixed >> np.uint32(22))
-        self.at_two = self.rows_2[:k] + (((self.before[:k] * np.uint32(0x85EBCA6B)) ^ mixed) * np.uint32(0xC2B2AE35) >> np.uint32(21))
-        two, one = self.two.take(self.at_two), self.one.take(self.at_one)
-        has_two = two != _NONE
-        has_one = (one != _NONE) & (one != two)
-        self.at_weight = self.rows_4[:k] + (has_two.view(np.int8) * np.int8(2) + has_one.view(np.int8))
-        held = self.weights.take(self.at_weight)
-        self.first, self.second = held & 0xFFFF, held >> 16
-        first = np.where(has_two, self.first, np.int32(0))
-        both = first + np.where(has_one, np.maximum((_FULL - first) * self.second >> _BITS, 1), np.int32(0))
-        return two, one, first, both
-
-    def intervals(self, k: int, at: np.ndarray, first: np.ndarray, both: np.ndarray, by_two: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of what is coded, as numbers of 2^30; ``at`` is the id's range."""
-        place = self.rows_0[:k] + at
-        starts = self.starts.reshape(-1)
-        start = starts.take(place)
-        place += 1
-        share, rest = (starts.take(place) - start).astype(np.int32), _FULL - both
-        return (
-            np.where(new, (both << _BITS) + rest * start.astype(np.int32), np.where(by_two, np.int32(0), first << _BITS)),
-            np.where(new, rest * share, np.where(by_two, first, both - first) << _BITS),
-        )
-
-    def learn(self, k: int, ids: np.ndarray, by_two: np.ndarray, by_one: np.ndarray) -> None:
-        # A weight, and so the share of any order, stays above 0 and below 1.
-        least, full = np.int32(_LEAST), np.int32(_FULL)
-        first = self.first + ((np.where(by_two, full, least) - self.first) >> _RATE)
-        second = self.second + np.where(by_two, np.int32(0), (np.where(by_one, full, least) - self.second) >> _RATE)
-        self.weights[self.at_weight] = second << 16 | first
+        """Of the first ``k`` lanes: the ids that orders 2 and 1 predict, the share of order 2, and that of both together."""
+        last = self.last[:k]
+        self.at_one = (last >> np.uint32(22)).astype(np.int64)
+        self.at_one += self.rows_1[:k]
+        self.at_two = (((self.before[:k] ^ last) * np.uint32(0xC2B2AE35)) >> np.uint32(21)).astype(np.int64)
+        self.at_two += self.rows_2[:k]
+        two, one = self.two.take(self.at_two, mode="clip"), self.one.take(self.at_one, mode="clip")
+        state = (two != self.unknown).view(np.int8)
+        state += state
+        state += (one != two).view(np.int8)
+        self.at_weight = self.rows_4[:k] + state
+        self.held = self.weights.take(self.at_weight, mode="clip")
+        return two, one, *_halves(self.held)
+
+    def span(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Share and start of the ranges ``at``."""
+        return _halves(self.spans.take(self.rows_0[:k] + at, mode="clip"))
+
+    def learn(self, k: int, ids: np.ndarray, by_two: np.ndarray, new: np.ndarray) -> None:
+        aim = np.where(new, _NONE_RIGHT, np.where(by_two, _TWO_RIGHT, _ONE_RIGHT))
+        aim += self.held
+        aim -= (self.held >> np.uint32(4)) & _SIXTEENTH
+        self.weights[self.at_weight] = aim
         self.two[self.at_two] = ids
         self.one[self.at_one] = ids
-        self.before[:k] = self.last[:k]
-        self.last[:k] = ids
+        last = self.last[:k]
+        np.right_shift(last, np.uint32(7), out=self.before[:k])
+        np.multiply(ids, np.uint32(0x9E3779B1), out=last)
 
 
-class _Coder:
-    """Carry-less range coder, one per lane: 64-bit low and range, 16 bits leave at a time."""
+def _halves(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The low and the high 16 bits."""
+    return (held & np.uint32(0xFFFF)).astype(np.uint64), (held >> np.uint32(16)).astype(np.uint64)
 
-    def __init__(self, lanes: int, room: int):
-        self.low, self.range = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
-        self.room = room
-        self.words, self.at = np.zeros(lanes * room, dtype="<u2"), np.arange(lanes) * room
 
-    def narrow(self, k: int, start: np.ndarray, size: np.ndarray) -> None:
-        low, wide = self.low[:k], self.range[:k]
-        part = wide >> _CODED
-        low += part * start.astype(np.uint64)
-        np.multiply(part, size.astype(np.uint64), out=wide)
-        moving = np.flatnonzero(((low ^ (low + wide)) < _TOP) | (wide < _SHORT))
-        l, w = low.take(moving), wide.take(moving)
-        while len(moving):
-            w = np.where((l ^ (l + w)) < _TOP, w, (np.uint64(0) - l) & (_SHORT - np.uint64(1)))
-            self.shift(moving, l)
-            l, w = l << _WORD, w << _WORD
-            low[moving], wide[moving] = l, w
-            again = np.flatnonzero(((l ^ (l + w)) < _TOP) | (w < _SHORT))
-            moving, l, w = moving.take(again), l.take(again), w.take(again)
+def _lookup(model: _Model) -> np.ndarray:
+    """For each value of a share the range that it lies in, lane by lane."""
+    return np.repeat(np.tile(np.arange(_RANGES, dtype=np.uint8), len(model.counts)), model.shares)
 
-    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        at = self.at.take(lanes)
-        self.words[at] = low >> np.uint64(48)
-        self.at[lanes] = at + 1
 
+def _borders(wide: np.ndarray, first: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Makes the shares of orders parts of ``wide``; what a unit of a range's share is, inside what order 0 has."""
+    unit = wide >> _WEIGHT_BITS
+    first *= unit
+    both *= unit
+    return (wide - both) >> np.uint64(_RANGE_BITS)
 
-class _Decoder(_Coder):
-    def __init__(self, words: list[np.ndarray]):
-        super().__init__(len(words), max(map(len, words)) + 8)
-        for lane, held in enumerate(words):
-            self.words[lane * self.room : lane * self.room + len(held)] = held
-        self.code = np.zeros(len(words), dtype=np.uint64)
-        for _ in range(4):
-            self.shift(np.arange(len(words)), self.low)
 
-    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        at = self.at.take(lanes)
-        self.code[lanes] = (self.code.take(lanes) << _WORD) | self.words.take(at, mode="clip")
-        self.at[lanes] = at + 1
+def _interval(first: np.ndarray, both: np.ndarray, unit: np.ndarray, share: np.ndarray, start: np.ndarray, by_two: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of what is coded; its arguments don't last."""
+    start *= unit
+    start += both
+    share *= unit
+    both -= first
+    return np.where(new, start, np.where(by_two, np.uint64(0), first)), np.where(new, share, np.where(by_two, first, both))
 
-    def value(self, k: int) -> np.ndarray:
-        part = np.maximum(self.range[:k] >> _CODED, np.uint64(1))
-        return np.minimum((self.code[:k] - self.low[:k]) // part, np.uint64((1 << 2 * _BITS) - 1)).astype(np.int32)
 
+class _Coder:
+    """Range coder, one per lane: 64-bit low and range, 32 bits leave at a time. Carries are counted on the word before and passed on at the end."""
 
-class _Ranges:
-    """Finds the range that a share lies in: a table tells between which two, halving does the rest."""
+    def __init__(self, lanes: int, room: int):
+        self.low, self.range = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
+        self.room = room
+        self.rows, self.n_words = np.arange(lanes) * (room + 1) + 1, np.zeros(lanes, dtype=np.int64)
+        self.words = np.zeros(lanes * (room + 1), dtype=np.uint64)  # a lane's first takes no carry: what is coded is below 1
 
-    def __init__(self, starts: np.ndarray):
-        lanes = len(starts)
-        self.starts, self.width = starts, (_FULL >> _GUESS) + 2
-        rows = np.arange(lanes)
-        cell = ((starts[:, 1:_RANGES].astype(np.int64) + ((1 << _GUESS) - 1)) >> _GUESS) + rows[:, None] * self.width
-        found = np.bincount(cell.reshape(-1), minlength=lanes * self.width).reshape(lanes, self.width)
-        self.table = np.cumsum(found, axis=1).astype(np.uint8).reshape(-1)  # the range in which each cell begins
-        self.rows, self.rows_0 = rows * self.width, rows * (_RANGES + 1)
-
-    def find(self, k: int, share: np.ndarray) -> np.ndarray:
-        cell = self.rows[:k] + (share >> _GUESS)
-        least, most = self.table.take(cell).astype(np.int64), self.table.take(cell + 1)
-        open_ = np.flatnonzero(least < most)
-        low, high, rows, share = least.take(open_), most.take(open_).astype(np.int64), self.rows_0.take(open_), share.take(open_)
-        starts = self.starts.reshape(-1)
-        while len(open_):
-            middle = (low + high + 1) >> 1
-            reached = starts.take(rows + middle) <= share
-            low, high = np.where(reached, middle, low), np.where(reached, high, middle - 1)
-            least[open_] = low
-            more = np.flatnonzero(low < high)
-            open_, low, high, rows, share = open_.take(more), low.take(more), high.take(more), rows.take(more), share.take(more)
-        return least
+    def narrow(self, k: int, start: np.ndarray, size: np.ndarray) -> None:
+        low, wide = self.low[:k], self.range[:k]
+        wide[:] = size
+        low += start
+        carried = np.flatnonzero(low < start)
+        if len(carried):
+            self.words[self.rows.take(carried) + self.n_words.take(carried) - 1] += np.uint64(1)
+        moving = np.flatnonzero(wide < _LEAST_RANGE)
+        self.shift(moving, low)
+        wide[moving] = wide.take(moving) << _WORD
+
+    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
+        own, n = low.take(lanes), self.n_words.take(lanes)
+        self.words[self.rows.take(lanes) + n] = own >> _WORD
+        self.n_words[lanes] = n + 1
+        low[lanes] = own << _WORD
+
+    def ended(self) -> np.ndarray:
+        """The words of each lane, of which the first ``n_words`` count."""
+        lanes = np.arange(len(self.low))
+        for _ in range(2):
+            self.shift(lanes, self.low)
+        words = self.words.reshape(len(lanes), self.room + 1)
+        for at in range(int(self.n_words.max(initial=0)), 1, -1):
+            words[:, at - 1] += words[:, at] >> _WORD
+        return words[:, 1:].astype("<u4")
 
 
 def _packed(values: np.ndarray, bits: int) -> bytes:
@@ -197,13 +192,13 @@ def encode(blocks: list[np.ndarray], id_bits: int = 32) -> list[bytes]:
     """Each block of ids (below 2^id_bits, and below 2^32 - 1) as bytes."""
     by_length = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     lengths = np.array([len(blocks[i]) for i in by_length], dtype=np.int64)
-    ids = np.zeros((int(lengths.max(initial=0)), len(blocks)), dtype=np.uint32)
+    if any((block >> np.uint32(id_bits)).any() for block in blocks if id_bits < 32):
+        raise ValueError(f"an id does not fit {id_bits} bits")
+    ids = np.zeros((int(lengths.max(initial=0)), len(blocks)), dtype=_kind(id_bits))
     for lane, i in enumerate(by_length):
         ids[: len(blocks[i]), lane] = blocks[i]
-    if id_bits < 32 and (ids >> np.uint32(id_bits)).any():
-        raise ValueError(f"an id does not fit {id_bits} bits")
     below = max(0, id_bits - 8)
-    model, coder = _Model(len(blocks)), _Coder(len(blocks), 4 * len(ids) + 8)
+    model, coder = _Model(len(blocks), id_bits), _Coder(len(blocks), len(ids) + 4)
     alone = np.zeros(ids.shape, dtype=bool)  # ids that only order 0 predicts
     for step, now in enumerate(ids):
         k = int(np.searchsorted(-lengths, -step, side="left"))
@@ -211,22 +206,21 @@ def encode(blocks: list[np.ndarray], id_bits: int = 32) -> list[bytes]:
         now = now[:k]
         two, one, first, both = model.predict(k)
         by_two = now == two
-        by_one = (now == one) & ~by_two
-        new = ~(by_two | by_one)
+        new = now != one
+        new &= ~by_two
         alone[step, :k] = new
-        coder.narrow(k, *model.intervals(k, now >> np.uint32(below), first, both, by_two, new))
-        model.learn(k, now, by_two, by_one)
-    lanes = np.arange(len(blocks))
-    for _ in range(4):
-        coder.shift(lanes, coder.low)
-        coder.low <<= _WORD
+        unit = _borders(coder.range[:k], first, both)
+        coder.narrow(k, *_interval(first, both, unit, *model.span(k, now >> below), by_two, new))
+        model.learn(k, now, by_two, new)
+    words = coder.ended()
     out: list[bytes] = [b""] * len(blocks)
     mask = np.uint32((1 << below) - 1)
+    alone = np.ascontiguousarray(alone.T)
     for lane, i in enumerate(by_length):
-        own = np.ascontiguousarray(ids[: len(blocks[i]), lane])
-        lower = own[alone[: len(own), lane]] & mask
+        own = np.asarray(blocks[i], dtype=np.uint32)
+        lower = own[alone[lane, : len(own)]] & mask
         head = _HEAD.pack(MAGIC, id_bits, len(own), zlib.crc32(own.astype("<u4").tobytes()), len(lower))
-        body = head + coder.words[lane * coder.room : coder.at[lane]].tobytes() + _packed(lower, below)
+        body = head + words[lane, : coder.n_words[lane]].tobytes() + _packed(lower, below)
         out[i] = body + struct.pack("<I", zlib.crc32(body))
     return out
 
@@ -251,32 +245,48 @@ def decode(blocks: list[bytes]) -> list[np.ndarray]:
 
 def _decoded(blocks: list[bytes], lengths: np.ndarray, alone_in: list[int], id_bits: int) -> list[np.ndarray]:
     """The same for blocks of one id width, longest first."""
-    ids = np.zeros((int(lengths.max(initial=0)), len(blocks)), dtype=np.uint32)
+    ids = np.zeros((int(lengths.max(initial=0)), len(blocks)), dtype=_kind(id_bits))
     below = max(0, id_bits - 8)
     ends = [len(b) - 4 - (n * below + 7) // 8 for b, n in zip(blocks, alone_in, strict=True)]
-    if any(end < _HEAD.size for end in ends):
+    if any(end < _HEAD.size + 8 for end in ends):
         raise ValueError("damaged block of ids")
-    lower = np.concatenate([*(_unpacked(b[end:-4], n, below) for b, end, n in zip(blocks, ends, alone_in, strict=True)), np.zeros(1, dtype=np.uint32)])
-    next_lower = np.concatenate(([0], np.cumsum(alone_in)))[:-1]
-    model, coder = _Model(len(blocks)), _Decoder([np.frombuffer(b, dtype="<u2", offset=_HEAD.size, count=(end - _HEAD.size) // 2) for b, end in zip(blocks, ends, strict=True)])
+    lower = np.concatenate([*(_unpacked(b[end:-4], n, below) for b, end, n in zip(blocks, ends, alone_in, strict=True)), np.zeros(1, dtype=np.uint32)]).astype(ids.dtype)
+    next_lower = np.concatenate(([0], np.cumsum(alone_in, dtype=np.int64)))[:-1]
+    words = [np.frombuffer(b, dtype="<u4", offset=_HEAD.size, count=(end - _HEAD.size) // 4) for b, end in zip(blocks, ends, strict=True)]
+    model = _Model(len(blocks), id_bits)
+    next_word = np.cumsum([0, *map(len, words)])[:-1]
+    words = np.concatenate([*words, np.zeros(1, dtype=np.uint32)]).astype(np.uint64)
+    codes = words.take(next_word) << _WORD | words.take(next_word + 1)
+    next_word += 2
+    ranges = np.full(len(blocks), (1 << 64) - 1, dtype=np.uint64)
+    most = np.uint64((1 << _RANGE_BITS) - 1)
+    rows = np.arange(len(blocks)) << _RANGE_BITS
     alone = np.zeros(ids.shape, dtype=bool)
     for step in range(len(ids)):
         k = int(np.searchsorted(-lengths, -step, side="left"))
         if model.renew(step, ids, alone, below):
-            ranges = _Ranges(model.starts)
-        value = coder.value(k)
+            lookup = _lookup(model)
+        code, wide = codes[:k], ranges[:k]
         two, one, first, both = model.predict(k)
-        order = value >> _BITS
-        by_two, new = order < first, order >= both
-        by_one = ~(by_two | new)
-        # Where an order predicts the id, the share means nothing.
-        share = np.minimum((value - (both << _BITS)).view(np.uint32) // (_FULL - both).view(np.uint32), np.uint32(_FULL - 1))
-        at = ranges.find(k, share)
-        own = (at << below) | lower.take(next_lower[:k], mode="clip")
+        unit = _borders(wide, first, both)
+        by_two, new = code < first, code >= both
+        # Where an order predicts the id, the range means nothing.
+        share = np.minimum((code - both) // unit, most).view(np.int64)
+        share += rows[:k]
+        at = lookup.take(share, mode="clip")
+        share, start = model.span(k, at)
+        own = (at.astype(lower.dtype) << below) | lower.take(next_lower[:k], mode="clip")
         next_lower[:k] += new
-        now = np.where(new, own.astype(np.uint32), np.where(by_two, two, one))
-        coder.narrow(k, *model.intervals(k, at, first, both, by_two, new))
+        now = np.where(new, own, np.where(by_two, two, one))
+        start, wide[:] = _interval(first, both, unit, share, start, by_two, new)
+        code -= start
+        moving = np.flatnonzero(wide < _LEAST_RANGE)
+        at_word = next_word.take(moving)
+        code[moving] = code.take(moving) << _WORD | words.take(at_word, mode="clip")
+        wide[moving] = np.maximum(wide.take(moving), np.uint64(1)) << _WORD
+        next_word[moving] = at_word + 1
         ids[step, :k] = now
         alone[step, :k] = new
-        model.learn(k, now, by_two, by_one)
-    return [np.ascontiguousarray(ids[:n, lane]) for lane, n in enumerate(lengths.tolist())]
+        model.learn(k, now, by_two, new)
+    ids = ids.T.astype(np.uint32, order="C")
+    return [ids[lane, :n].copy() for lane, n in enumerate(lengths.tolist())]

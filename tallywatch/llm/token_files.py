@@ -119,20 +119,21 @@ class _Words(dict):
             yield from map(self.of_text, texts.to_pylist())
             return
         text, ends = _bytes_of(texts)
-        odd = _KIND[text] == _ODD
+        kind = _KIND[text]
+        odd = kind == _ODD
         odd[1:] |= (text[:-1] == 0xC3) & ((text[1:] == 0x97) | (text[1:] == 0xB7))  # the two signs among those letters
         is_odd = np.zeros(len(texts), dtype=bool)
         is_odd[np.searchsorted(ends, np.flatnonzero(odd), side="right")] = True
         if is_odd.any():
-            plain = self._of_plain(*_bytes_of(texts.filter(pa.array(~is_odd))))
+            text, ends = _bytes_of(texts.filter(pa.array(~is_odd)))
+            plain = self._of_plain(text, ends, _KIND[text])
             for at, alone in enumerate(is_odd.tolist()):
                 yield self.of_text(texts[at].as_py()) if alone else next(plain)
         else:
-            yield from self._of_plain(text, ends)
+            yield from self._of_plain(text, ends, kind)
 
-    def _of_plain(self, text: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
-        """The same for texts of plain characters, given as their bytes one after the other and where each ends."""
-        kind = _KIND[text]
+    def _of_plain(self, text: np.ndarray, ends: np.ndarray, kind: np.ndarray) -> Iterator[np.ndarray]:
+        """The same for texts of plain characters, given as their bytes one after the other, where each ends, and what each byte is."""
         starts = (kind == _DIGIT) | (kind != np.concatenate((kind[:1] ^ 1, kind[:-1])))
         begins = np.concatenate(([0], ends[:-1]))
         first = begins[begins < ends]
@@ -145,7 +146,7 @@ class _Words(dict):
         starts &= inside
         offsets = np.append(np.flatnonzero(starts[inside]), np.count_nonzero(inside)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(_LOWER[text[inside]])).dictionary_encode()
-        own = [self._bare(p) if p[0] != "'" else b"".join(map(self._bare, _PIECES.findall(p))) for p in pieces.dictionary.to_pylist()]
+        own = self._of_pieces(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own)) // 4
         which = pieces.indices.to_numpy()
         n = sizes[which]
@@ -155,6 +156,17 @@ class _Words(dict):
         cuts = after[np.searchsorted(np.flatnonzero(starts), np.concatenate((begins, ends[-1:])))].tolist()
         return (ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
 
+    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, most of which are known. One with an apostrophe before its letters is remembered whole."""
+        own = list(map(self.bare.get, pieces))
+        for at in [at for at, found in enumerate(own) if found is None]:
+            piece = pieces[at]
+            if piece[0] != "'":
+                own[at] = self._bare(piece)
+            else:
+                own[at] = self.bare[piece] = b"".join(map(self._bare, _PIECES.findall(piece)))
+        return own
+
 
 def _bytes_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, and where each ends."""

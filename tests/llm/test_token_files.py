@@ -174,3 +174,33 @@ def test_an_id_is_one_coding_step_and_its_lower_bits_stand_apart(monkeypatch):
     assert steps == [1] * 300
     assert id_coder.decode([block])[0].tolist() == ids.tolist()
     assert len(block) < 300 * 2 + 60  # random ids cost what they have
+
+
+def test_a_piece_with_an_apostrophe_is_asked_once():
+    words = token_files._Words(Tokenizer.from_file(FILE), by_word=True)
+    texts = ["it's 'quoted 'tis", "'Quoted, ' 'tis 'a' ''s"]
+    assert [[*ids.tolist(), 1] for ids in words.of_texts(pa.array(texts))] == [own_ids(t) for t in texts]
+    assert np.frombuffer(words.bare["'quoted"], dtype="<u4").tolist() == own_ids("'quoted")[:-1]
+    known = dict(words.bare)
+    assert [[*ids.tolist(), 1] for ids in words.of_texts(pa.array(texts[::-1]))] == [own_ids(t) for t in texts[::-1]]
+    assert words.bare == known
+
+
+def test_tables_hold_ids_in_as_few_bytes_as_they_need():
+    assert [id_coder._Model(3, bits).two.itemsize for bits in (1, 16, 17, 32)] == [2, 2, 4, 4]
+    assert id_coder._Model(3, 16).one.itemsize == 2
+
+
+def test_a_carry_goes_over_any_number_of_words():
+    coder = id_coder._Coder(2, 6)
+    held = coder.words.reshape(2, 7)
+    held[0, 1:5], held[1, 1:3] = [7, 2**32 - 1, 2**32 - 1, 2**32 + 5], [1, 2]  # the last word of the first lane has met a carry
+    coder.n_words[:] = 4, 2
+    assert coder.ended()[:, :6].tolist() == [[8, 0, 0, 5, 0, 0], [1, 2, 0, 0, 0, 0]]
+
+
+def test_ids_that_stand_for_unknown_ones_come_back():
+    rng = np.random.default_rng(5)
+    for bits, most in ((16, 2**16 - 1), (32, 2**32 - 2)):
+        blocks = [np.full(3000, most, dtype=np.uint32), rng.choice(np.array([0, most, most - 1], dtype=np.uint32), 2500), np.resize(np.array([most, 0], dtype=np.uint32), 70)]
+        assert [b.tolist() for b in id_coder.decode(id_coder.encode(blocks, bits))] == [b.tolist() for b in blocks]
