@@ -17,6 +17,8 @@ from tallywatch.llm import common
 FRAGMENTS = 4
 #: Members of a key that one task compares at a time with as many others.
 BLOCK = 512
+#: Keys, and bytes of elements, that a task gathers before it hands them on: a batch for each set would be very many.
+KEYS_HELD, BYTES_HELD = 50_000, 2_000_000
 #: Bits of a parity sketch, at most.
 MOST_BITS = 8192
 
@@ -88,8 +90,8 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def _map(docs: DataFrame, emit, schema: pa.Schema, ddl: str) -> DataFrame:
-    """``emit(set id, tokens)`` for sets that the task has not seen lately."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``emit.batches`` of (set id, tokens) for sets that the task has not seen lately."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
         seen: set[int] = set()
         for batch in batches:
             for text in batch.column("text"):
@@ -99,7 +101,10 @@ def _map(docs: DataFrame, emit, schema: pa.Schema, ddl: str) -> DataFrame:
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(sid)
-                yield from emit(sid, tokens)
+                yield sid, tokens
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from emit.batches(sets(batches))
 
     return docs.mapInArrow(run, ddl)
 
@@ -113,10 +118,23 @@ class _Keys:
     def tokens(self, text: str | None) -> np.ndarray:
         return tokens_of(text, self.rule.width)
 
-    def __call__(self, sid: int, tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys = self.rule.keys(tokens)
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), sid, dtype=np.int64))], schema=self.schema)
+    def batches(self, sets: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        sids, held, n_held = [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            of = np.repeat(np.array(sids, dtype=np.int64), [len(k) for k in held])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), pa.array(of)], schema=self.schema)
+
+        for sid, tokens in sets:
+            keys = self.rule.keys(tokens)
+            sids.append(sid)
+            held.append(keys)
+            n_held += len(keys)
+            if n_held >= KEYS_HELD:
+                yield batch()
+                sids, held, n_held = [], [], 0
+        if n_held:
+            yield batch()
 
 
 class _Segments(_Keys):
@@ -129,11 +147,19 @@ class _Segments(_Keys):
         super().__init__(rule)
         self.maybe = wanted.local_test()
 
-    def __call__(self, sid: int, tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if self.maybe(sid):
+    def batches(self, sets: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        n_bytes = 0
+        for sid, tokens in sets:
+            if not self.maybe(sid):
+                continue
             which = (tokens >> np.uint64(64 - FRAGMENTS.bit_length() + 1)).astype(np.int64)
-            rows = [(sid, k, len(tokens), self.rule.sketch(tokens) if k == 0 else None, tokens[which == k].tobytes()) for k in range(FRAGMENTS)]
-            yield from common.arrow_batches(iter(rows), self.schema)
+            held += [(sid, k, len(tokens), self.rule.sketch(tokens) if k == 0 else None, tokens[which == k].tobytes()) for k in range(FRAGMENTS)]
+            n_bytes += tokens.nbytes + MOST_BITS // 8
+            if n_bytes >= BYTES_HELD:
+                yield from common.arrow_batches(held, self.schema)
+                held, n_bytes = [], 0
+        yield from common.arrow_batches(held, self.schema)
 
 
 def _overlap(a, b):

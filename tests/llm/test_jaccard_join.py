@@ -99,3 +99,23 @@ def test_elements_of_sets_that_cannot_link_are_not_moved(docs, monkeypatch):
     assert sorted(r.component_id for r in jj.grouped(table).collect()) == [0, 1, 2]
     assert seen["jaccard-members"][0] > 0 and seen["jaccard-segments"] == [12]
     assert seen["jaccard-elements"] == [0, 0, 0]
+
+
+def test_keys_and_elements_of_many_sets_are_handed_on_together(spark, monkeypatch):
+    rule = jj.Rule(5, 4, 5)
+    sets = [(i, jj.tokens_of(" ".join(f"w{i * j % 97}x{j}" for j in range(40 + i % 7)), 5)) for i in range(300)]
+    emit = jj._Keys(rule)
+    expected = [(k, i) for i, tokens in sets for k in rule.keys(tokens).view("int64").tolist()]
+    segments = jj._Segments(rule, jj.common.IdFilter(spark.range(300), "id"))
+    elements = [(i, k, len(t)) for i, t in sets for k in range(jj.FRAGMENTS)]
+    for held, most in ((10**6, 1), (500, len(expected) // 500 + 1)):
+        monkeypatch.setattr(jj, "KEYS_HELD", held)
+        monkeypatch.setattr(jj, "BYTES_HELD", held)
+        batches = list(emit.batches(iter(sets)))
+        assert len(batches) <= most
+        assert [row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True)] == expected
+        batches = list(segments.batches(iter(sets)))
+        assert len(batches) <= (1 if held > 500 else len(sets))
+        assert [row for b in batches for row in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)] == elements
+        assert b"".join(b for x in batches for b in x.column("elements").to_pylist()) == b"".join(t.tobytes() for _, t in sets)
+    assert list(emit.batches(iter([]))) == list(segments.batches(iter([]))) == []
